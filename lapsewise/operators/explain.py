@@ -20,6 +20,11 @@ from lapsewise.functions.numeric import num
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def feature_means(matrix: DataFrame, features: list[str]) -> dict[str, float]:
+    row = matrix.agg(*[F.avg(num(c)).alias(c) for c in features]).first()
+    return {c: row[c] for c in features}
+
+
 def linear_contributions(
     matrix: DataFrame, features: list[str], coefficients: list[float], means: dict[str, float] | None = None, key: str = K.ID
 ) -> DataFrame:
@@ -27,9 +32,7 @@ def linear_contributions(
 
     Without ``means`` the background is the matrix itself.
     """
-    if means is None:
-        row = matrix.agg(*[F.avg(num(c)).alias(c) for c in features]).first()
-        means = {c: row[c] for c in features}
+    means = means or feature_means(matrix, features)
     cells = F.array(*[
         F.struct(
             F.lit(c).alias("feature"), num(c).alias("value"),
@@ -134,11 +137,13 @@ def tree_contributions(matrix: DataFrame, features: list[str], model, key: str =
     )
 
 
-def contributions(matrix: DataFrame, features: list[str], model, key: str = K.ID) -> DataFrame:
-    """Attributions of any of the candidate models."""
+def contributions(
+    matrix: DataFrame, features: list[str], model, means: dict[str, float] | None = None, key: str = K.ID
+) -> DataFrame:
+    """Attributions of any of the candidate models; ``means`` matters to the linear one only."""
     if hasattr(model, "trees"):
         return tree_contributions(matrix, features, model, key)
-    return linear_contributions(matrix, features, list(model.coefficients), key=key)
+    return linear_contributions(matrix, features, list(model.coefficients), means, key)
 
 
 def global_importance(attributions: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lapsewise import constants as K
 from lapsewise.operators.clean import Preprocessor, apply_winsor, assemble, fit_winsor, remove_duplicates
 from lapsewise.operators.enrich import engineer_features, with_rfm
-from lapsewise.operators.explain import contributions, risk_table
+from lapsewise.operators.explain import contributions, feature_means, risk_table, top_risk
 from lapsewise.operators.models import Bundle, Fitted, best_bundle, compare_models, score, train_models
 from lapsewise.operators.resample import smote
 from lapsewise.operators.split import exact_split, hash_split
@@ -72,7 +72,13 @@ def train_and_compare(matrices: Matrices, **options) -> tuple[Bundle, DataFrame]
 
 
 def explain_risk(bundle: Bundle, matrix: DataFrame, players: DataFrame, n: int = 20) -> tuple[DataFrame, DataFrame]:
-    """(attributions, top-risk table) for every row of a matrix."""
+    """(attributions of every row, top-risk table).
+
+    The table attributes its n rows only; the full attributions stay lazy until they are read.
+    """
     scored = materialise(score(bundle.model, assemble(matrix, bundle.features)).drop("features"), "scored")
-    attributions = contributions(matrix, bundle.features, bundle.model)
-    return attributions, risk_table(scored, attributions, players, bundle.threshold, n)
+    means = feature_means(matrix, bundle.features)
+    listed = matrix.join(F.broadcast(top_risk(scored, n).select(K.ID)), K.ID, "left_semi")
+    few = contributions(listed, bundle.features, bundle.model, means)
+    everything = contributions(matrix, bundle.features, bundle.model, means)
+    return everything, risk_table(scored, few, players, bundle.threshold, n)

@@ -1,0 +1,258 @@
+"""Neighbours, resampling, training, attribution, bundles."""
+
+import itertools
+import math
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+from test_clean import make_players
+
+from lapsewise import constants as K
+from lapsewise.operators import explain as G
+from lapsewise.operators import models as M
+from lapsewise.operators import scoring as V
+from lapsewise.operators.clean import assemble
+from lapsewise.operators.neighbours import nearest_neighbours
+from lapsewise.operators.resample import smote
+from lapsewise.operators.split import class_distribution
+from lapsewise.plans import stages
+from lapsewise.sources.workspace import new_path
+
+
+@pytest.mark.parametrize("min_block", [40, 5000])
+def test_neighbours_match_brute_force(spark, min_block):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 3)).round(2)
+    x[100:130] = x[7]      # thirty copies
+    x[200:202] = x[8]      # three in all
+    names = [f"p{i:04d}" for i in range(400)]
+    df = spark.createDataFrame([(n, v.tolist()) for n, v in zip(names, x)], "id string, v array<double>")
+    vectors, found = nearest_neighbours(df, "id", "v", k=5, min_block=min_block)
+    vec = {r["rep"]: np.array(r["v"]) for r in vectors.collect()}
+    rows = found.collect()
+    assert len(rows) == len(np.unique(x, axis=0)) and sum(r["n"] for r in rows) == 400
+    for r in rows:
+        own = vec[r["rep"]]
+        got = sorted(float(np.linalg.norm(own - vec[m])) for m in r["near"])
+        want = sorted(np.linalg.norm(x - own, axis=1))[1:6]
+        assert np.allclose(got, want, atol=1e-9), r["rep"]
+
+
+def test_neighbours_only_for_asked_points(spark):
+    rows = [(f"p{i}", [float(i), 0.0], i < 3) for i in range(50)]
+    df = spark.createDataFrame(rows, "id string, v array<double>, ask boolean")
+    _, found = nearest_neighbours(df, "id", "v", k=2, min_block=10, asked="ask")
+    assert {r["rep"]: sorted(r["near"]) for r in found.collect()} == {"p0": ["p1", "p2"], "p1": ["p0", "p2"], "p2": ["p1", "p3"]}
+
+
+def test_smote_balances_and_stays_between_neighbours(spark):
+    rng = np.random.default_rng(8)
+    minority = rng.normal(size=(37, 2)).round(3)
+    rows = [(f"a{i}", 1, *map(float, v)) for i, v in enumerate(minority)]
+    rows += [(f"b{i}", 0, *map(float, v)) for i, v in enumerate(rng.normal(5, 1, size=(100, 2)))]
+    df = spark.createDataFrame(rows, "player_id string, churn_label int, x double, y double")
+    out = smote(df, ["x", "y"], min_block=16).toPandas()
+    assert (out.groupby("churn_label").size() == 100).all()
+    assert len(out[~out["synthetic"]]) == 137 and out["player_id"].is_unique
+    for _, r in out[out["synthetic"]].iterrows():
+        base = minority[int(r["player_id"].split("-")[1][1:])]
+        near = minority[np.argsort(np.linalg.norm(minority - base, axis=1))[1:6]]
+        point = np.array([r["x"], r["y"]])
+        gaps = [np.linalg.norm(base - point) + np.linalg.norm(point - n) - np.linalg.norm(base - n) for n in near]
+        assert min(gaps) < 1e-9
+
+
+@pytest.mark.parametrize("rows", [[("a", 0, 1.0), ("b", 1, 2.0)], [("a", 0, 1.0), ("b", 0, 2.0)], [("a", 0, 1.0), ("b", 0, 2.0), ("c", 1, 7.0)]])
+def test_smote_small_cases(spark, rows):
+    df = spark.createDataFrame(rows, "player_id string, churn_label int, x double")
+    out = smote(df, ["x"])
+    sizes = [r["players"] for r in class_distribution(out).collect()]
+    assert len(set(sizes)) == 1
+
+
+def test_smote_with_equal_minority_rows(spark):
+    rows = [(f"a{i}", 1, 3.0) for i in range(9)] + [(f"b{i}", 0, float(i)) for i in range(30)]
+    out = smote(spark.createDataFrame(rows, "player_id string, churn_label int, x double"), ["x"])
+    assert out.where("churn_label = 1").count() == 30 and out.where("synthetic and x <> 3.0").count() == 0
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    m = stages.split_matrices(stages.enrich(make_players(spark, 1200)))
+    fixed = {
+        "RandomForest": {"numTrees": 6, "maxDepth": 4}, "BoostedTreesDepth": {"maxIter": 4, "maxDepth": 3},
+        "BoostedTreesLeaves": {"maxIter": 3, "maxDepth": 2},
+    }
+    return m, stages.train(m, fixed=fixed)
+
+
+def test_leaking_label_gives_near_perfect_ranking(trained):
+    m, fitted = trained
+    table = M.compare_models(fitted, m.part("test")).collect()
+    assert {r["model"] for r in table} == set(M.MODEL_CLASSES)
+    assert table[0]["test_auc"] > 0.98
+    assert [r["test_auc"] for r in table] == sorted((r["test_auc"] for r in table), reverse=True)
+
+
+def test_proxies_can_be_dropped(trained):
+    m, _ = trained
+    names = M.model_features(m.preprocessor, True)
+    assert not set(K.LABEL_PROXIES) & set(names) and len(names) == 13
+
+
+def test_bundle_round_trip(spark, trained):
+    m, fitted = trained
+    table = M.compare_models(fitted, m.part("test"))
+    bundle = M.best_bundle(fitted, table)
+    path = bundle.save(spark, new_path(spark, "bundle"))
+    loaded = M.Bundle.load(spark, path)
+    assert (loaded.name, loaded.threshold, loaded.features) == (bundle.name, bundle.threshold, bundle.features)
+    ready = assemble(m.part("test"), bundle.features)
+    a = M.score(bundle.model, ready).select("player_id", "churn_prob")
+    b = M.score(loaded.model, ready).select("player_id", "churn_prob")
+    assert sorted(a.collect()) == sorted(b.collect())
+    info = M.model_info(spark, path).collect()
+    assert len(info) == 4 and {r["model_name"] for r in info} == {bundle.name}
+
+
+def test_search_draws_within_ranges_and_repeats(spark):
+    import random
+
+    for name, space in M.SEARCH.items():
+        a = [M.draw_params(space, random.Random(1)) for _ in range(20)]
+        assert a == [M.draw_params(space, random.Random(1)) for _ in range(20)]
+        for draw in a:
+            assert "leaves" not in draw
+            for p, value in draw.items():
+                kind, low, high = space[p]
+                assert kind == "share" or low <= float(value) <= high or p == "maxDepth"
+
+
+def brute_shapley(predict, x, covers):
+    """Shapley values of one row for a value function given on feature subsets."""
+    d = len(x)
+    out = np.zeros(d)
+    for i in range(d):
+        rest = [j for j in range(d) if j != i]
+        for size in range(d):
+            for s in itertools.combinations(rest, size):
+                w = math.factorial(size) * math.factorial(d - size - 1) / math.factorial(d)
+                out[i] += w * (predict(x, set(s) | {i}) - predict(x, set(s)))
+    return out
+
+
+def conditional_output(root, output):
+    """Expected output of a tree when only some features are known: follow or average by cover."""
+    def value(node, x, known):
+        if node.getClass().getSimpleName() == "LeafNode":
+            return output(node)
+        f, t = node.split().featureIndex(), node.split().threshold()
+        left, right = node.leftChild(), node.rightChild()
+        if f in known:
+            return value(left if x[f] <= t else right, x, known)
+        a, b = left.impurityStats().count(), right.impurityStats().count()
+        return (a * value(left, x, known) + b * value(right, x, known)) / (a + b)
+
+    return lambda x, known: value(root, x, known)
+
+
+@pytest.mark.parametrize("kind", ["BoostedTreesDepth", "RandomForest"])
+def test_tree_attributions_match_brute_force(spark, kind):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 4)).round(2)
+    y = ((x[:, 0] > 0) & (x[:, 1] < 0.5) | (x[:, 2] > 1)).astype(int)
+    names = ["a", "b", "c", "d"]
+    df = spark.createDataFrame([(f"p{i}", int(t), *map(float, v)) for i, (v, t) in enumerate(zip(x, y))], "player_id string, churn_label int, a double, b double, c double, d double")
+    ready = assemble(df, names).withColumn("weight", F.lit(1.0))
+    params = {"maxIter": 3, "maxDepth": 4} if kind == "BoostedTreesDepth" else {"numTrees": 3, "maxDepth": 4}
+    model = M.estimator(kind, 300, **params).fit(ready)
+    got = G.tree_contributions(df, names, model).toPandas().pivot(index="player_id", columns="feature", values="contribution")[names]
+    _, base = G.ensemble_leaves(model)
+    if kind == "RandomForest":
+        target = M.score(model, ready).select("player_id", F.col("churn_prob").alias("t"))
+    else:  # the probability is 1 / (1 + exp(-2 margin))
+        target = model.transform(ready).select("player_id", vector_to_array("rawPrediction")[1].alias("t"))
+    target = target.toPandas().set_index("player_id")["t"]
+    assert np.allclose(got.sum(axis=1) + base, target.loc[got.index], atol=1e-9)
+    weights = list(model.treeWeights)
+    for i in (0, 17, 101):
+        want = np.zeros(4)
+        for tree, w in zip(model.trees, weights):
+            if kind == "RandomForest":
+                output = lambda n: list(n.impurityStats().stats())[1] / sum(n.impurityStats().stats()) / len(weights)
+            else:
+                output = lambda n, w=w: w * n.prediction()
+            want += brute_shapley(conditional_output(tree._java_obj.rootNode(), output), x[i], None)
+        assert np.allclose(got.loc[f"p{i}"].to_numpy(), want, atol=1e-9)
+
+
+def test_linear_attributions_add_up(spark, trained):
+    m, fitted = trained
+    model = fitted.models["LogisticRegression"]
+    part = m.part("test")
+    out = G.contributions(part, fitted.features, model)
+    sums = out.groupBy("player_id").agg(F.sum("contribution").alias("s")).toPandas().set_index("player_id")["s"]
+    raw = model.transform(assemble(part, fitted.features)).select("player_id", vector_to_array("rawPrediction")[1].alias("m")).toPandas().set_index("player_id")["m"]
+    gap = raw.loc[sums.index] - sums
+    assert gap.std() < 1e-9  # margin = base + sum, with one base for all rows
+
+
+def test_risk_table(spark, trained):
+    m, fitted = trained
+    bundle = M.best_bundle(fitted)
+    players = make_players(spark, 1200)
+    everything, table = stages.explain_risk(bundle, m.part("test"), players, 5)
+    rows = table.collect()
+    assert len(rows) == 5 and all(r["risk_narrative"].count(" | ") == 2 for r in rows)
+    assert [r["churn_prob"] for r in rows] == sorted((r["churn_prob"] for r in rows), reverse=True)
+    assert everything.count() == m.part("test").count() * len(bundle.features)
+    scored = M.score(bundle.model, assemble(m.part("test"), bundle.features))
+    shown = G.waterfall(everything, scored, 0.0, 4).collect()
+    assert len(shown) == 4 and len({r["player_id"] for r in shown}) == 1
+    assert len(G.top_features(everything).collect()) == 10
+
+
+def test_narrative_wording(spark):
+    names = ["last_login_days_ago", "consecutive_losses", "total_spend_usd", "session_count", "win_rate", "friend_count", "rfm_score", "other"]
+    df = spark.createDataFrame([(12.0, 3.0, 24.5, 45.0, 0.525, 8.0), (None, None, None, None, None, None)],
+                               "last_login_days_ago double, consecutive_losses double, total_spend_usd double, session_count double, win_rate double, friend_count double")
+    reasons = F.array(*[F.struct(F.lit(n).alias("feature"), F.lit(1.0 if i % 2 == 0 else -1.0).alias("contribution")) for i, n in enumerate(names)])
+    full, empty = [r[0].split(" | ") for r in df.select(G.risk_narrative(reasons)).collect()]
+    assert full == [
+        "Last login 12 days ago (increases churn risk)", "3 consecutive losses (decreases churn risk)", "Total spend $24 (increases churn risk)",
+        "45 sessions total (decreases churn risk)", "Win rate 52% (increases churn risk)", "8 in-game friends (decreases churn risk)",
+        "Feature 'RFM engagement score' increases churn risk", "Feature 'other' decreases churn risk",
+    ]
+    assert empty[2] == "Total spend unknown (increases churn risk)" and empty[4] == "Win rate unknown (increases churn risk)"
+    assert empty[5] == "Friend count unknown (decreases churn risk)"
+
+
+def test_scoring_matches_by_hand_preprocessing(spark, trained):
+    m, fitted = trained
+    bundle = M.best_bundle(fitted)
+    text = ('{"session_count": 45, "avg_session_duration": 40, "last_login_days_ago": 12, "total_playtime_hours": 80, "win_rate": 0.52, '
+            '"total_spend_usd": 25.0, "friend_count": 8, "game_mode_primary": "PvP", "achievement_count": 35, "consecutive_losses": 2}')
+    good, bad = V.score_records(spark.createDataFrame([(0, text), (1, "{}")], "index int, record string"), bundle).orderBy("index").collect()
+    prep = bundle.preprocessor
+    raw = {"session_count": 45, "avg_session_duration": 40, "last_login_days_ago": 12, "total_playtime_hours": 80, "win_rate": 0.52, "total_spend_usd": 25.0,
+           "friend_count": 8, "achievement_count": 35, "consecutive_losses": 2, "rfm_recency": 168, "rfm_frequency": 45, "rfm_monetary": math.log1p(25.0), "rfm_score": 50.0}
+    cells = {c: (raw[c] - prep.scales[c][0]) / prep.scales[c][1] for c in prep.numeric}
+    cells.update({f"game_mode_primary_{x}": float(x == "PvP") for x in ("PvE", "PvP", "Solo")})
+    want = M.score(bundle.model, assemble(spark.createDataFrame(pd.DataFrame([cells])), bundle.features)).first()["churn_prob"]
+    assert abs(good["churn_probability"] - round(want, 4)) < 1e-9 and good["error"] is None
+    assert good["input_summary"]["session_count"] == 45.0
+    assert bad["churn_probability"] is None and bad["risk_tier"] is None and bad["input_summary"] is None and len(bad["error"]) == 10
+
+
+def test_what_if_covers_every_player_and_scenario(spark, trained):
+    _, fitted = trained
+    bundle = M.best_bundle(fitted)
+    players = make_players(spark, 60)
+    out = V.what_if(players, [{"scenario": "as is"}, {"scenario": "gone", "last_login_days_ago": 170}], bundle)
+    assert out.count() == 120
+    gone = {r["player_id"]: r["churn_prob"] for r in out.where("scenario = 'gone'").collect()}
+    kept = {r["player_id"]: r["churn_prob"] for r in out.where("scenario = 'as is'").collect()}
+    assert all(gone[p] >= kept[p] - 0.05 for p in kept)
