@@ -42,9 +42,11 @@ def number_text(field: Column) -> Column:
     """How the value is quoted in a message: integers plain, other numbers with a decimal point."""
     whole = F.schema_of_variant(field) == "BIGINT"
     x = F.try_variant_get(field, "$", "double")
-    plain = F.when(
-        (x == F.floor(x)) & (F.abs(x) < 1e16), F.concat(x.cast("decimal(20,0)").cast("string"), F.lit(".0"))
-    ).otherwise(x.cast("string"))
+    plain = (
+        F.when((x == F.floor(x)) & (F.abs(x) < 1e16), F.concat(x.cast("decimal(20,0)").cast("string"), F.lit(".0")))
+        .when(F.schema_of_variant(field).startswith("DECIMAL"), F.try_variant_get(field, "$", "string"))
+        .otherwise(x.cast("string"))
+    )
     flag = F.when(F.try_variant_get(field, "$", "boolean"), F.lit("True")).otherwise(F.lit("False"))
     return (
         F.when(json_kind(field) == "bool", flag)

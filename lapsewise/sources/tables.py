@@ -1,11 +1,15 @@
 """Readers for the star-schema tables and for player tables at rest."""
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise.functions.numeric import nan_to_null
 from lapsewise.schema import PLAYER_SCHEMA
 
+log = logging.getLogger(__name__)
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -40,6 +44,9 @@ def load_splits(spark: SparkSession, path: str, split: str | None = None) -> Dat
 
 
 def available(df: DataFrame, wanted: list[str]) -> list[str]:
-    """The wanted columns that the table has, in wanted order."""
+    """The wanted columns that the table has, in wanted order; absent ones are logged."""
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        log.warning("columns not found, left out: %s", missing)
     return [c for c in wanted if c in df.columns]
 
