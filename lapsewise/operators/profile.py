@@ -98,10 +98,12 @@ def order_activity(orders: DataFrame) -> DataFrame:
 def item_activity(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per customer: quantity, win rate, distinct parts and suppliers.
 
-    Spark plans the distinct counts as a grouping by (customer, part or supplier) first, so a
-    customer with very many items is spread over its parts and suppliers.
+    Both sides grow with the data, so the join is asked to shuffle and never to broadcast the
+    orders; AQE splits an order with very many items. Spark plans the distinct counts as a
+    grouping by (customer, part or supplier) first, so a customer with very many items is spread
+    over its parts and suppliers.
     """
-    owner = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    owner = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").hint("merge")
     won = (F.col("l_returnflag") != "R").cast("int")
     return lineitem.join(owner, "l_orderkey").groupBy("o_custkey").agg(
         F.sum("l_quantity").alias("quantity"),

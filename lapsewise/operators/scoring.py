@@ -16,106 +16,89 @@ from lapsewise.operators.models import Bundle, score
 from lapsewise.operators.clean import assemble
 
 
-def json_kind(field: Column) -> Column:
-    """missing, null, str, bool, number, list or dict of a variant field."""
-    kind = F.schema_of_variant(field)
+def json_kind(field: Column, schema: Column) -> Column:
+    """missing, null, str, bool, int, float, list or dict of a variant field."""
     return (
         F.when(field.isNull(), F.lit("missing"))
-        .when(kind == "VOID", F.lit("null"))
-        .when(kind == "STRING", F.lit("str"))
-        .when(kind == "BOOLEAN", F.lit("bool"))
-        .when(kind.startswith("ARRAY"), F.lit("list"))
-        .when(kind.startswith("OBJECT"), F.lit("dict"))
-        .otherwise(F.lit("number"))
+        .when(schema == "VOID", F.lit("null"))
+        .when(schema == "STRING", F.lit("str"))
+        .when(schema == "BOOLEAN", F.lit("bool"))
+        .when(schema == "BIGINT", F.lit("int"))
+        .when(schema.startswith("ARRAY"), F.lit("list"))
+        .when(schema.startswith("OBJECT"), F.lit("dict"))
+        .otherwise(F.lit("float"))
     )
 
 
-def json_number(field: Column) -> Column:
+def json_number(field: Column, kind: Column) -> Column:
     """A number, or true/false as 1/0, as double; null for anything else."""
-    kind = json_kind(field)
-    return F.when(kind == "number", F.try_variant_get(field, "$", "double")).when(
+    return F.when(kind.isin("int", "float"), F.try_variant_get(field, "$", "double")).when(
         kind == "bool", F.try_variant_get(field, "$", "boolean").cast("double")
     )
 
 
-def number_text(field: Column) -> Column:
+def number_text(field: Column, kind: Column, value: Column) -> Column:
     """How the value is quoted in a message: integers plain, other numbers with a decimal point."""
-    whole = F.schema_of_variant(field) == "BIGINT"
-    x = F.try_variant_get(field, "$", "double")
-    plain = (
-        F.when((x == F.floor(x)) & (F.abs(x) < 1e16), F.concat(x.cast("decimal(20,0)").cast("string"), F.lit(".0")))
-        .when(F.schema_of_variant(field).startswith("DECIMAL"), F.try_variant_get(field, "$", "string"))
-        .otherwise(x.cast("string"))
-    )
-    flag = F.when(F.try_variant_get(field, "$", "boolean"), F.lit("True")).otherwise(F.lit("False"))
+    whole = F.concat(value.cast("decimal(20,0)").cast("string"), F.lit(".0"))
     return (
-        F.when(json_kind(field) == "bool", flag)
-        .when(whole, F.try_variant_get(field, "$", "bigint").cast("string"))
-        .otherwise(plain)
+        F.when(kind == "bool", F.when(value == 1, F.lit("True")).otherwise(F.lit("False")))
+        .when(kind == "int", F.try_variant_get(field, "$", "string"))
+        .when((value == F.floor(value)) & (F.abs(value) < 1e16), whole)
+        .otherwise(F.try_variant_get(field, "$", "string"))
     )
 
 
 def type_name(kind: Column) -> Column:
-    """Name of a rejected type in a message."""
-    return (
-        F.when(kind == "null", F.lit("NoneType"))
-        .when(kind == "number", F.lit("number"))
-        .otherwise(kind)
-    )
+    return F.when(kind == "null", F.lit("NoneType")).otherwise(kind)
 
 
-def field_error(name: str, field: Column) -> Column:
+def field_error(name: str, field: Column, kind: Column, value: Column) -> Column:
     """The message for one field, null if it is fine. Bounds are inclusive."""
-    kind = json_kind(field)
     missing = F.when(kind == "missing", F.lit(f"Missing required field: '{name}'"))
     if name == K.MODE:
-        wrong = F.concat(F.lit(f"Field '{name}' must be {K.STRING_TYPE_TEXT}, got "), python_kind(field))
+        wrong = F.concat(F.lit(f"Field '{name}' must be {K.STRING_TYPE_TEXT}, got "), type_name(kind))
         return missing.when(kind != "str", wrong)
     low, high = K.FIELD_BOUNDS[name]
-    value = json_number(field)
     wrong = F.concat(F.lit(f"Field '{name}' must be {K.NUMBER_TYPES_TEXT}, got "), type_name(kind))
     outside = F.concat(
-        F.lit(f"Field '{name}' = "), number_text(field), F.lit(f" is out of range [{low}, {high}]")
+        F.lit(f"Field '{name}' = "), number_text(field, kind, value), F.lit(f" is out of range [{low}, {high}]")
     )
     return missing.when(value.isNull(), wrong).when(
         (value < F.lit(float(low))) | (value > F.lit(float(high))), outside
     )
 
 
-def python_kind(field: Column) -> Column:
-    """Type name of a value that should have been a string."""
-    kind = json_kind(field)
-    number = F.when(F.schema_of_variant(field) == "BIGINT", F.lit("int")).otherwise(F.lit("float"))
-    return F.when(kind == "number", number).otherwise(type_name(kind))
-
-
-def mode_error(field: Column) -> Column:
+def mode_error(kind: Column, value: Column) -> Column:
     """Separate check of the mode's value, so a non-string mode gives two messages."""
-    known = F.coalesce(F.try_variant_get(field, "$", "string"), F.lit("")).isin(K.GAME_MODES)
-    kind = json_kind(field)
-    return F.when((kind != "missing") & ~((kind == "str") & known), F.lit(f"{K.MODE} must be one of {K.MODES_TEXT}"))
+    known = F.coalesce(value.isin(K.GAME_MODES), F.lit(False))
+    return F.when((kind != "missing") & ~known, F.lit(f"{K.MODE} must be one of {K.MODES_TEXT}"))
 
 
 def validate(records: DataFrame, record: str = "record") -> DataFrame:
     """Add the typed request fields and ``errors`` (array<string>, empty when valid).
 
-    Text that is not a JSON object has the single error 'Request body must be valid JSON.'.
+    Text that is not a JSON object has the single error 'Request body must be valid JSON.'. The
+    steps are separate projections, so each record is parsed and each field looked up once.
     """
-    parsed = records.withColumn("_v", F.try_parse_json(F.col(record)))
-    fields = parsed.withColumns({
-        f"_{name}": F.try_variant_get(F.col("_v"), f"$.{name}", "variant") for name in K.REQUEST_FIELDS
+    names = K.REQUEST_FIELDS
+    is_object = F.ltrim(F.col(record)).startswith("{")
+    parsed = records.withColumn("_v", F.when(is_object, F.try_parse_json(F.col(record))))
+    fields = parsed.withColumns({f"_f_{n}": F.try_variant_get(F.col("_v"), f"$.{n}", "variant") for n in names})
+    schemas = fields.withColumns({f"_s_{n}": F.schema_of_variant(f"_f_{n}") for n in names})
+    kinds = schemas.withColumns({f"_k_{n}": json_kind(F.col(f"_f_{n}"), F.col(f"_s_{n}")) for n in names})
+    typed = kinds.withColumns({
+        n: F.when(F.col(f"_k_{n}") == "str", F.try_variant_get(F.col(f"_f_{n}"), "$", "string"))
+        if n == K.MODE
+        else json_number(F.col(f"_f_{n}"), F.col(f"_k_{n}"))
+        for n in names
     })
-    messages = [field_error(name, F.col(f"_{name}")) for name in K.REQUEST_FIELDS]
-    messages.append(mode_error(F.col(f"_{K.MODE}")))
-    listed = F.filter(F.array(*messages), lambda m: m.isNotNull())
-    is_object = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
-    values = [
-        (F.try_variant_get(F.col(f"_{n}"), "$", "string") if n == K.MODE else json_number(F.col(f"_{n}"))).alias(n)
-        for n in K.REQUEST_FIELDS
-    ]
-    return fields.select(
-        *records.columns, *values,
-        F.when(is_object, listed).otherwise(F.array(F.lit("Request body must be valid JSON."))).alias("errors"),
+    messages = [field_error(n, F.col(f"_f_{n}"), F.col(f"_k_{n}"), F.col(n)) for n in names]
+    messages.append(mode_error(F.col(f"_k_{K.MODE}"), F.col(K.MODE)))
+    unreadable = F.array(F.lit("Request body must be valid JSON."))
+    return typed.select(
+        *records.columns,
+        *names,
+        F.when(F.col("_v").isNull(), unreadable).otherwise(F.array_compact(F.array(*messages))).alias("errors"),
     )
 
 

@@ -28,8 +28,7 @@ def enrich(players: DataFrame, order: str | None = None, fit_on: str = "all") ->
     rows = remove_duplicates(players, K.ID, order) if order else players
     rows = materialise(rows, "players")
     base = rows.where(F.col("split") == "train") if fit_on == "train" else rows
-    clipped = materialise(apply_winsor(rows, fit_winsor(base, K.NUMERIC_FEATURES)), "clipped")
-    return with_rfm(clipped)
+    return with_rfm(apply_winsor(rows, fit_winsor(base, K.NUMERIC_FEATURES)))
 
 
 def featured(players: DataFrame, order: str | None = None) -> DataFrame:

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise.functions.numeric import nan_to_null
-from lapsewise.schema import PLAYER_SCHEMA
+from lapsewise.schema import PLAYER_SCHEMA, TABLE_SCHEMAS
 
 log = logging.getLogger(__name__)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def load_players(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

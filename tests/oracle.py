@@ -26,7 +26,8 @@ def plain(value):
     if isinstance(value, bool) or value is None:
         return value
     if isinstance(value, float):
-        return None if math.isnan(value) else value + 0.0
+        # the text tells 0.0 and -0.0 apart
+        return None if math.isnan(value) else (repr(value) if value == 0 else value)
     if isinstance(value, decimal.Decimal):
         return float(value)
     if isinstance(value, (datetime.date, datetime.datetime)):
@@ -35,7 +36,7 @@ def plain(value):
 
 
 def sort_key(row):
-    return tuple((v is not None, str(type(v)), v if v is not None else 0) for v in row)
+    return tuple((v is not None, 0.0 if v in ("0.0", "-0.0") else v if v is not None else 0) for v in row)
 
 
 def table_of(columns, rows):

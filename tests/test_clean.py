@@ -146,7 +146,9 @@ def test_splits_are_disjoint_complete_and_stable(players, cut):
     assert S.split_overlap(cut(players)).count() == 0
 
 
-def test_exact_split_is_stratified(players):
+@pytest.mark.parametrize("one_task_rows", [0, 500_000])
+def test_exact_split_is_stratified(players, monkeypatch, one_task_rows):
+    monkeypatch.setattr("lapsewise.operators.ranks.ONE_TASK_ROWS", one_task_rows)
     counts = {(r["split"], r["churn_label"]): r["count"] for r in S.exact_split(players).groupBy("split", "churn_label").count().collect()}
     for label in (0, 1):
         total = sum(v for (_, y), v in counts.items() if y == label)
