@@ -220,4 +220,5 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly min(n, rows) rows, the same ones on every run: the n smallest key hashes."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    text = F.col(key).cast("string")
+    return df.orderBy(F.md5(F.concat(text, F.lit(f"#{seed}"))), text).limit(n)

@@ -73,7 +73,12 @@ def stream_daily_counts(spark, sf_dir):
     return out.select("user_id", F.date_format("day_start", "yyyy-MM-dd").alias("day"), "events")
 
 
-@query("stream_weekly_counts")
+@query(
+    "stream_weekly_counts",
+    f"""WITH {_DAILY}, x AS (SELECT user_id, day + CAST(k AS INTEGER) AS last_day, events FROM d, range(7) t(k))
+        SELECT user_id, strftime(last_day, '%Y-%m-%d') AS last_day, CAST(sum(events) AS BIGINT) AS trailing FROM x
+        WHERE last_day + INTERVAL 1 DAY <= {_MARK} GROUP BY user_id, last_day""",
+)
 def stream_weekly_counts(spark, sf_dir):
     out = _run(spark, T.weekly_counts(_events(spark, sf_dir)), "weekly")
     return out.withColumn("last_day", F.date_format("last_day", "yyyy-MM-dd"))

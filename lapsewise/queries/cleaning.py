@@ -311,7 +311,7 @@ def filter_values(spark, sf_dir):
     return X.distinct_values(players(spark, sf_dir, [K.MODE]), K.MODE)
 
 
-@query("seeded_sample")
+@query("seeded_sample", with_(PLAYERS, "SELECT player_id, session_count FROM p ORDER BY md5(player_id || '#42'), player_id LIMIT 500"))
 def seeded_sample(spark, sf_dir):
     return X.seeded_sample(players(spark, sf_dir, ["player_id", "session_count"]), "player_id", 500)
 

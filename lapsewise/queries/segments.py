@@ -235,6 +235,10 @@ def pca_scatter(spark, sf_dir):
     )
 
 
-@query("fallback_scatter")
+@query(
+    "fallback_scatter",
+    with_(SEGMENTED, """SELECT player_id, engagement_score, rfm_score, segment, session_count, total_spend_usd, win_rate FROM s
+      ORDER BY md5(player_id || '#42'), player_id LIMIT 5000"""),
+)
 def fallback_scatter(spark, sf_dir):
     return S.fallback_scatter(segmented(spark, sf_dir), 5000)

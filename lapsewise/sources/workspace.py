@@ -17,10 +17,10 @@ _LOCAL_DIRS: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _LOCAL_DIRS:
