@@ -24,15 +24,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # executors unpickle the helpers below without having this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NONE = np.iinfo(np.int32).max
+#: Texts that a worker returns at once.
+RETURNED = 256
 #: Bytes of texts that are encoded together; bounds the worker's memory, not the text.
-TOGETHER = 4_000_000
+TOGETHER = 1_000_000
 
 
 def byte_alphabet() -> list[str]:
@@ -274,6 +276,12 @@ def _factors(size: int, which: int) -> tuple:
     return letter, *rows
 
 
+def sliced(batches: Iterator[pd.Series]) -> Iterator[list]:
+    for batch in batches:
+        for at in range(0, len(batch), RETURNED):
+            yield batch.iloc[at : at + RETURNED].tolist()
+
+
 def codec(spec: str) -> Codec:
     """One codec for each tokenizer and worker process; it outlives the tasks of a reused worker."""
     held = sys.modules.setdefault("_bpe_codecs", types.ModuleType("_bpe_codecs")).__dict__
@@ -292,16 +300,23 @@ class Tokenizer:
 
         def encode_all(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             own = codec(spec.value)
-            for texts in batches:
-                yield pd.Series(own.encode(texts.tolist()))
+            for texts in sliced(batches):
+                yield pd.Series(own.encode(texts), dtype=object)
 
         def decode_all(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             own = codec(spec.value)
-            for ids in batches:
-                yield pd.Series([own.decode(x) for x in ids.tolist()], dtype=object)
+            for ids in sliced(batches):
+                yield pd.Series([own.decode(x) for x in ids], dtype=object)
+
+        def both_all(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            own = codec(spec.value)
+            for texts in sliced(batches):
+                ids = own.encode(texts)
+                yield pd.DataFrame({"ids": ids, "decoded": [own.decode(x) for x in ids]})
 
         self._encode = F.pandas_udf(encode_all, "binary")
         self._decode = F.pandas_udf(decode_all, "string")
+        self._both = F.pandas_udf(both_all, "ids binary, decoded string")
 
     def encode(self, text: str | Column) -> Column:
         """Ids as little-endian unsigned 32-bit integers, four bytes each."""
@@ -312,7 +327,6 @@ class Tokenizer:
         return self._decode(ids)
 
 
-def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """Adds the ids of the whole text and the text decoded from them."""
-    tokenizer = Tokenizer(df.sparkSession, path)
-    return df.withColumn(ids, tokenizer.encode(F.col(text))).withColumn(decoded, tokenizer.decode(F.col(ids)))
+    def round_trip(self, text: str | Column) -> Column:
+        """A struct of the ids and the text decoded from them, in one pass."""
+        return self._both(text)

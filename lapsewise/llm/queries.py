@@ -31,10 +31,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_bpe_forced_boundaries")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER)
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    coded = docs.select("doc_id", bpe.Tokenizer(spark, TOKENIZER).round_trip("text").alias("coded"))
     return coded.select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
