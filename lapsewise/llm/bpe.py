@@ -13,11 +13,9 @@ A null text counts as empty: no ids, and the empty string when decoded. Rows are
 merged; other columns, repeated rows and null ids of documents pass through unchanged.
 """
 
-import functools
 import json
 import re
 import sys
-import types
 import unicodedata
 from collections.abc import Iterator
 
@@ -27,6 +25,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from lapsewise.llm.arrays import ascii_space, distinct, gathered, ranges, worker_state
+
 # executors unpickle the helpers below without having this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -67,8 +67,7 @@ class Codec:
         self.words = re.compile(f"\n|'s|'t|'re|'ve|'m|'ll|'d|[{inside('L')}]+|[{inside('N')}]|[^\n{inside('L')}{inside('N')}]+")
         # where the library's white space is not the ASCII white space of the fast path
         self.unusual = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-        self.space = np.zeros(256, bool)
-        self.space[[*range(9, 14), 32]] = True
+        self.space = ascii_space()
 
     def _index_merges(self, merges, vocab) -> None:
         left = np.array([vocab[a] for a, _ in merges], np.uint64)
@@ -226,56 +225,6 @@ class Codec:
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
 
 
-def ranges(inside) -> tuple:
-    """Starts and ends of the runs of true."""
-    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    return edge[::2], edge[1::2]
-
-
-def gathered(flat, start, end) -> tuple:
-    """The ranges of flat, one after the other, and their sizes."""
-    size = end - start
-    stop = np.cumsum(size)
-    return flat[np.repeat(start - stop + size, size) + np.arange(stop[-1] if len(stop) else 0)], size
-
-
-def distinct(text, start, end) -> tuple:
-    """A first place of each distinct byte range, and the number of each range's content.
-
-    Ranges are told apart by a 64-bit hash from running sums; a second one and the length expose
-    different ranges with one hash, which then stand for themselves.
-    """
-    one, two = (hash_of(text, start, end, which) for which in (0, 1))
-    order = np.argsort(one, kind="stable")
-    new = np.concatenate([[True], one[order][1:] != one[order][:-1]]) if len(order) else np.zeros(0, bool)
-    first, number = order[new], np.empty(len(order), np.int64)
-    number[order] = np.cumsum(new) - 1
-    mate = first[number]
-    strange = np.flatnonzero((two != two[mate]) | (end - start != (end - start)[mate]))
-    number[strange] = len(first) + np.arange(len(strange))
-    return np.concatenate([first, strange]), number
-
-
-def hash_of(text, start, end, which: int):
-    letter, power, back = _factors(max(1 << 20, 1 << len(text).bit_length()), which)
-    total = np.zeros(len(text) + 1, np.uint64)
-    np.cumsum(letter[text] * power[: len(text)], out=total[1:])
-    return (total[end] - total[start]) * back[start]
-
-
-@functools.lru_cache(4)
-def _factors(size: int, which: int) -> tuple:
-    """A number for each byte; powers of an odd factor, and of its inverse, all modulo 2**64."""
-    random = np.random.Generator(np.random.PCG64(7 + which))
-    letter, factor = random.integers(0, 2**64, 256, np.uint64), int(random.integers(0, 2**61)) * 8 + 5
-    rows = []
-    for x in (factor, pow(factor, -1, 2**64)):
-        row = np.full(size, x, np.uint64)
-        row[0] = 1
-        rows.append(np.multiply.accumulate(row))
-    return letter, *rows
-
-
 def sliced(batches: Iterator[pd.Series]) -> Iterator[list]:
     for batch in batches:
         for at in range(0, len(batch), RETURNED):
@@ -284,11 +233,10 @@ def sliced(batches: Iterator[pd.Series]) -> Iterator[list]:
 
 def codec(spec: str) -> Codec:
     """One codec for each tokenizer and worker process; it outlives the tasks of a reused worker."""
-    held = sys.modules.setdefault("_bpe_codecs", types.ModuleType("_bpe_codecs")).__dict__
-    key = f"{len(spec)}-{hash(spec)}"
-    if key not in held:
-        held[key] = Codec(spec)
-    return held[key]
+    held = worker_state("codecs")
+    if spec not in held:
+        held[spec] = Codec(spec)
+    return held[spec]
 
 
 class Tokenizer:

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import bpe, packing
+from lapsewise.llm import bpe, minhash, packing
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 QUERIES, SQL = {}, {}
@@ -39,3 +39,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("coded.ids", 256).alias("ids_sha256"),
         F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op3_minhash_b_bit")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
