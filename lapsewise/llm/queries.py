@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import bpe, minhash, packing
+from lapsewise.llm import bpe, minhash, packing, weak_rules
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 QUERIES, SQL = {}, {}
@@ -44,3 +44,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_minhash_b_bit")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op7_weak_quality_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = weak_rules.judged(table(spark, sf_dir, "documents", "doc_id", "text"))
+    names = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept posterior"
+    return rows.select("doc_id", *(f"_rules.{n}" for n in names.split()))
