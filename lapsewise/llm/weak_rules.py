@@ -22,8 +22,9 @@ SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 #: Base rules: fewer words, or a larger share in percent of words in repeated windows, fail.
 MIN_WORDS, MAX_REPEATED = 50, 50
-#: Rounds of expectation-maximisation, and right votes against wrong ones assumed before it.
-ROUNDS, ASSUMED = 15, (8.0, 2.0)
+ROUNDS = 15
+#: Right votes, abstentions and wrong votes that each rule is assumed to have given beforehand.
+RIGHT, NONE, WRONG = 8.0, 8.0, 2.0
 #: Posterior probability from which a text is kept.
 KEEP = 0.5
 
@@ -47,6 +48,7 @@ def measured(df: DataFrame, text: str = "text", out: str = "_rules") -> DataFram
             without(SPACE).cast("long").alias("word_chars"),
             (F.length(full) - without("[#*$%&|<>]")).cast("long").alias("n_symbols"),
             (F.length(full) - without("[.!?]")).cast("long").alias("n_marks"),
+            without(r"[\p{L}\p{N}\x20\x09-\x0D]+").cast("long").alias("n_special"),
             F.size("_lines").cast("long").alias("n_lines"),
             (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         ).alias("_numbers"),
@@ -92,7 +94,7 @@ def measured(df: DataFrame, text: str = "text", out: str = "_rules") -> DataFram
         F.size(words).cast("long").alias("n_words"),
         *numbers("word_chars", "n_symbols", "n_dup_lines"),
         F.size(covered).cast("long").alias("n_repeat_words"),
-        *numbers("n_marks", "n_lines"),
+        *numbers("n_marks", "n_special", "n_lines"),
         F.size(F.array_distinct(words)).cast("long").alias("n_distinct"),
     )
     return step.select(*own, result.alias(out))
@@ -104,37 +106,38 @@ def base_failed(at: str = "_rules") -> Column:
 
 
 def votes(at: str = "_rules") -> dict[str, Column]:
-    """The votes; a rule abstains between its two limits."""
+    """The votes. A rule abstains between its limits; finding no repetition says nothing good."""
     get = lambda name: F.col(f"{at}.{name}")
     n = F.greatest(get("n_words"), F.lit(1))
-
-    def vote(good: Column, bad: Column) -> Column:
-        return F.when(bad, -1).when(good, 1).otherwise(0)
-
     symbols, repeats, length = get("n_symbols") / n, get("n_repeat_words") / n, get("word_chars") / n
     sentences, variety = get("n_marks") / n, get("n_distinct") / n
+    special = get("n_special") / F.greatest(get("word_chars"), F.lit(1))
     doubled = get("n_dup_lines") / F.greatest(get("n_lines"), F.lit(1))
+
+    def vote(bad: Column, good: Column = F.lit(False)) -> Column:
+        return F.when(bad, -1).when(good, 1).otherwise(0)
+
     return {
-        "symbols": vote(symbols <= 0.02, symbols > 0.15),
-        "repeats": vote(repeats <= 0.1, repeats > 0.25),
-        "lines": vote((doubled == 0) & (get("n_lines") >= 3), doubled > 0.3),
-        "word_length": vote(length.between(3.5, 8.0), ~length.between(2.5, 11.0)),
-        "sentences": vote(sentences.between(0.02, 0.25), (sentences < 0.005) | (sentences > 0.6)),
-        "variety": vote(variety >= 0.45, variety < 0.2),
+        "symbols": vote(symbols > 0.1, symbols <= 0.02),
+        "special": vote(special > 0.12, special <= 0.06),
+        "word_length": vote(~length.between(3.0, 10.0), length.between(3.5, 7.0)),
+        "sentences": vote((sentences < 0.005) | (sentences > 0.6), sentences.between(0.02, 0.25)),
+        "repeats": vote(repeats > 0.25),
+        "lines": vote(doubled > 0.3),
+        "variety": vote(variety < 0.2),
     }
 
 
 def fit(patterns: DataFrame) -> tuple[float, dict[str, tuple[float, float]]]:
-    """The share of good texts, and for each rule how often it votes good on good and on bad texts.
+    """The share of good texts, and each rule's weight in log odds when it votes bad and good.
 
     ``patterns`` has a column for each rule and the count of each combination; a round is one small
-    aggregate over it.
+    aggregate over it. A rule is never trusted to mean the opposite of its vote.
     """
     rules = [c for c in patterns.columns if c != "count"]
-    right, wrong = ASSUMED
-    share, rates = 0.8, {r: (right / (right + wrong), wrong / (right + wrong)) for r in rules}
+    share, weights = 0.5, {r: (math.log(WRONG / RIGHT), math.log(RIGHT / WRONG)) for r in rules}
     for _ in range(ROUNDS):
-        good = F.col("count") * posterior(share, rates, F.col)
+        good = F.col("count") * posterior(share, weights, F.col)
         bad = F.col("count") - good
         sums = patterns.agg(
             F.sum(good).alias("good"), F.sum(bad).alias("bad"),
@@ -143,24 +146,23 @@ def fit(patterns: DataFrame) -> tuple[float, dict[str, tuple[float, float]]]:
         ).first()
         if sums["good"] is None:
             break
-        share = (sums["good"] + right) / (sums["good"] + sums["bad"] + right + wrong)
+        share = (sums["good"] + RIGHT) / (sums["good"] + sums["bad"] + RIGHT + RIGHT)
         share = min(max(share, 0.05), 0.95)
 
-        def rate(rule: str, kind: str, plus: float, minus: float) -> float:
-            up, down = sums[f"{rule} {kind} 1"] or 0.0, sums[f"{rule} {kind} -1"] or 0.0
-            return (up + plus) / (up + down + plus + minus)
+        def odds(rule: str, vote: int) -> float:
+            seen = [(sums[f"{rule} {kind} {vote}"] or 0.0, sums[kind]) for kind in ("good", "bad")]
+            assumed = (RIGHT, WRONG) if vote == 1 else (WRONG, RIGHT)
+            of_good, of_bad = ((n + a) / (total + RIGHT + NONE + WRONG) for (n, total), a in zip(seen, assumed))
+            return math.log(of_good / of_bad)
 
-        rates = {r: (rate(r, "good", right, wrong), rate(r, "bad", wrong, right)) for r in rules}
-        # a rule is never trusted to mean the opposite
-        rates = {r: (max(g, b), b) for r, (g, b) in rates.items()}
-    return share, rates
+        weights = {r: (min(odds(r, -1), 0.0), max(odds(r, 1), 0.0)) for r in rules}
+    return share, weights
 
 
-def posterior(share: float, rates: dict[str, tuple[float, float]], vote) -> Column:
+def posterior(share: float, weights: dict[str, tuple[float, float]], vote) -> Column:
     odds = F.lit(math.log(share / (1 - share)))
-    for rule, (good, bad) in rates.items():
-        up, down = math.log(good / bad), math.log((1 - good) / (1 - bad))
-        odds = odds + F.when(vote(rule) == 1, up).when(vote(rule) == -1, down).otherwise(0.0)
+    for rule, (bad, good) in weights.items():
+        odds = odds + F.when(vote(rule) == 1, good).when(vote(rule) == -1, bad).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
 
 
@@ -173,8 +175,8 @@ def judged(df: DataFrame, text: str = "text") -> DataFrame:
     rows = materialise(measured(df, text), "measured")
     cast = votes()
     patterns = rows.where(~base_failed()).groupBy(*(v.alias(r) for r, v in cast.items())).count()
-    share, rates = fit(materialise(patterns.coalesce(1), "patterns"))
-    chance = posterior(share, rates, cast.__getitem__)
+    share, weights = fit(materialise(patterns.coalesce(1), "patterns"))
+    chance = posterior(share, weights, cast.__getitem__)
     return rows.withColumn("_rules", F.struct(
         "_rules.*", base_failed().alias("base_failed"), chance.alias("posterior"),
         (~base_failed() & (chance >= KEEP)).alias("kept"),
