@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import bpe, minhash, packing, weak_rules
+from lapsewise.llm import bpe, knn_quality, minhash, packing, weak_rules
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 QUERIES, SQL = {}, {}
@@ -51,3 +51,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = weak_rules.judged(table(spark, sf_dir, "documents", "doc_id", "text"))
     names = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept posterior"
     return rows.select("doc_id", *(f"_rules.{n}" for n in names.split()))
+
+
+@query("op5_knn_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = knn_quality.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    scored = docs.select("doc_id", knn_quality.held_out().alias("held_out"), knn_quality.score(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
