@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import bpe, knn_quality, minhash, packing, weak_rules
+from lapsewise.llm import bpe, knn_quality, line_dedup, minhash, packing, sharding, weak_rules
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 QUERIES, SQL = {}, {}
@@ -59,3 +59,54 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = knn_quality.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
     scored = docs.select("doc_id", knn_quality.held_out().alias("held_out"), knn_quality.score(docs, model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+#: CRC-32 of a text's bytes by its table of 256 remainders; size is the bytes of the text plus 1.
+OP2_SQL = """
+WITH remainders AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS r
+  FROM range(256) t(i)),
+scored AS (
+  SELECT doc_id, coalesce(strlen(text), 0) + 1 AS size, coalesce(text, '') AS text, shard,
+         -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || shard), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0) AS n
+  FROM documents, range(17) s(shard)),
+placed AS (
+  SELECT doc_id, size, text, arg_min(shard, n) FILTER (WHERE shard < 16) AS shard, arg_min(shard, n) AS grown_shard
+  FROM scored GROUP BY doc_id, size, text),
+coded AS (
+  SELECT doc_id, size, shard, grown_shard,
+         xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+                         lambda c, b: xor(c >> 8, r[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM placed, remainders)
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard
+FROM coded
+"""
+
+
+@query("op2_rendezvous_shards", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+OP6_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
+full_lines AS (
+  SELECT doc_id, i, regexp_replace(line, '^[\x09-\x0D ]+|[\x09-\x0D ]+$', '', 'g') AS line FROM lines WHERE regexp_matches(line, '[^\x09-\x0D ]')),
+windows AS (
+  SELECT doc_id, i AS first, lead(i, 2) OVER w AS last, line AS a, lead(line) OVER w AS b, lead(line, 2) OVER w AS c
+  FROM full_lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, first) AS nth FROM windows WHERE last IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS i FROM ranked WHERE nth > 1),
+kept AS (
+  SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL) AS text, count(g.i) AS n_removed
+  FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
+@query("op6_line_windows", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
