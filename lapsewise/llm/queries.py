@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import bpe, knn_quality, line_dedup, minhash, packing, sharding, weak_rules
+from lapsewise.llm import bpe, knn_quality, line_dedup, minhash, packing, sharding, topk, weak_rules
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 QUERIES, SQL = {}, {}
@@ -110,3 +110,20 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 @query("op6_line_windows", OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op4_segment_bounds_top_k", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
