@@ -81,7 +81,8 @@ def cut(df: DataFrame, ids: str, capacity: int, *keep: str) -> DataFrame:
             F.substring(F.col(ids), at * 4 + 1, step * 4).alias("ids"),
         ),
     )
-    return df.where(n > 0).select(*keep, F.inline(pieces))
+    # a filter on the number of ids would be pushed below their encoding, and encode twice
+    return df.select(*keep, F.inline(F.when(n > 0, pieces)))
 
 
 def place(pieces: DataFrame, key: list[str], capacity: int, length: str = "length", group_pieces: int = GROUP_PIECES) -> DataFrame:

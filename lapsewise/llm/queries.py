@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import bpe, knn_quality, line_dedup, minhash, packing, sharding, topk, weak_rules
+from lapsewise.llm import bpe, knn_quality, licenses, line_dedup, minhash, packing, sharding, topk, url_model, weak_rules
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 QUERIES, SQL = {}, {}
@@ -127,3 +127,13 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 @query("op4_segment_bounds_top_k", OP4_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+@query("op8_license_digests")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents", "doc_id", "text"), licenses.known(spark))
+
+
+@query("op9_url_markov_ratio")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_model.judged(table(spark, sf_dir, "pages", "page_id", "url"))
