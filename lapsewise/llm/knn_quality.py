@@ -61,7 +61,8 @@ def term_counts(texts: list):
     add(who, (word >> np.uint64(40)).astype(np.int64) % WORD_TERMS, 0, WORD_TERMS)
     shown = np.where(space, 32, text).astype(np.int64)
     pair = (shown[:-1] * 256 + shown[1:]) * 2654435761 >> 12
-    add(owner[:-1], pair % PAIR_TERMS, WORD_TERMS, PAIR_TERMS)
+    inside = owner[:-1] == owner[1:]  # a score must not depend on the next text
+    add(owner[:-1][inside], pair[inside] % PAIR_TERMS, WORD_TERMS, PAIR_TERMS)
 
     letter = ((text >= 97) & (text <= 122)) | (text >= 128)
     digit = (text >= 48) & (text <= 57)

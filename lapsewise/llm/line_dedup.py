@@ -57,11 +57,12 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     gone = repeated(found).groupBy("doc_id", "_text").agg(
         F.array_distinct(F.flatten(F.collect_set(F.sequence("first", "last")))).alias("_gone")
     ).withColumnRenamed("doc_id", "_id")
-    rows = docs.withColumn("_own", F.xxhash64(text))
+    # the row travels as one struct, so that its columns' names don't matter
+    rows = docs.select("doc_id", F.xxhash64(text).alias("_own"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
     both = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_text")), "left")
-    lines = F.split(F.col(text), "\n")
-    both = both.withColumn("_lines", F.when(F.col("_gone").isNotNull(), lines))
+    full = F.col(f"_row.`{text}`")
+    both = both.select("_row", "_gone", F.when(F.col("_gone").isNotNull(), F.split(full, "\n")).alias("_lines"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     short = F.array_join(F.transform(kept, lambda i: F.get(F.col("_lines"), i)), "\n")
-    out = [F.when(F.col("_gone").isNull(), F.col(text)).otherwise(short).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    return both.select(*out, F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))
+    out = [F.when(F.col("_gone").isNull(), full).otherwise(short).alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns]
+    return both.select(*out, F.greatest(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))

@@ -48,7 +48,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_weak_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = weak_rules.judged(table(spark, sf_dir, "documents", "doc_id", "text"))
+    rows = weak_rules.judged(table(spark, sf_dir, "documents", "doc_id", "text"), keep_text=False)
     names = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept posterior"
     return rows.select("doc_id", *(f"_rules.{n}" for n in names.split()))
 

@@ -166,13 +166,14 @@ def posterior(share: float, weights: dict[str, tuple[float, float]], vote) -> Co
     return 1 / (1 + F.exp(-odds))
 
 
-def judged(df: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with a struct ``_rules``: the base numbers, base_failed, posterior and kept.
+def judged(df: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """The rows, with or without their text, and a struct ``_rules``: the base numbers, base_failed, posterior and kept.
 
     The rows are written once with their numbers, so the texts are measured once. The accuracies
     are estimated on all texts that pass the base rules; the others are rejected anyway.
     """
-    rows = materialise(measured(df, text), "measured")
+    rows = measured(df, text)
+    rows = materialise(rows if keep_text else rows.drop(text), "measured")
     cast = votes()
     patterns = rows.where(~base_failed()).groupBy(*(v.alias(r) for r, v in cast.items())).count()
     share, weights = fit(materialise(patterns.coalesce(1), "patterns"))
