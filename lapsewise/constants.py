@@ -73,10 +73,10 @@ SEGMENTS = ["Champions", "Whales", "Casual", "At-Risk"]
 SPEND_TIERS = ["Free", "Minnow", "Dolphin", "Whale"]
 STATUSES = ["Active", "Churned"]
 
-# Right-closed bins: label of (edge[i], edge[i + 1]].
-LOSS_BINS = ([-1, 0, 2, 4, 6, 10, 15], ["0", "1-2", "3-4", "5-6", "7-10", "11+"])
+# Right-closed bins: label of (edge[i], edge[i + 1]]; the last one is open.
+LOSS_BINS = ([-1, 0, 2, 4, 6, 10, float("inf")], ["0", "1-2", "3-4", "5-6", "7-10", "11+"])
 FRIEND_BINS = (
-    [-1, 0, 2, 5, 10, 20, 50, 200],
+    [-1, 0, 2, 5, 10, 20, 50, float("inf")],
     ["0", "1-2", "3-5", "6-10", "11-20", "21-50", "50+"],
 )
 

@@ -45,13 +45,13 @@ def engagement_score() -> Column:
     frequency = clip(num("session_count"), 0.0, 500.0) / 500.0
     length = clip(filled("avg_session_duration"), 5.0, 240.0) / 240.0
     social = clip(filled("friend_count"), 0.0, 50.0) / 50.0
-    blend = recency * 0.40 + frequency * 0.25 + length * 0.20 + social * 0.15
+    blend = 0.40 * recency + 0.25 * frequency + 0.20 * length + 0.15 * social
     return round_even(blend * 100.0, 2)
 
 
 def loss_streak_risk() -> Column:
     distance = (num("consecutive_losses") - 4.0) / 2.0
-    return round_even(1.0 / (F.exp(-distance) + 1.0), 4)
+    return round_even(1.0 / (1.0 + F.exp(-distance)), 4)
 
 
 def monetisation_tier() -> Column:
@@ -71,7 +71,7 @@ def social_engagement_ratio() -> Column:
 
 
 def spend_recency_interaction() -> Column:
-    freshness = F.lit(1.0) / (num("last_login_days_ago") + 1.0)
+    freshness = F.lit(1.0) / (1.0 + num("last_login_days_ago"))
     return round_even(filled("total_spend_usd") * freshness, 4)
 
 

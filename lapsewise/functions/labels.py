@@ -25,7 +25,7 @@ def spend_tier_label(tier: Column) -> Column:
 
 def spend_tier_from_amount(spend: Column) -> Column:
     return right_closed_bin(
-        F.coalesce(spend.cast("double"), F.lit(0.0)), [-1.0, 0.0, 20.0, 100.0, 1e9], K.SPEND_TIERS
+        F.coalesce(spend.cast("double"), F.lit(0.0)), [-1.0, 0.0, 20.0, 100.0, float("inf")], K.SPEND_TIERS
     )
 
 

@@ -48,6 +48,19 @@ def sessionize(events: DataFrame, user: str, ts: str, gap_minutes: float = 30.0,
     )
 
 
+def stitched(pieces: DataFrame, user: str, gap_minutes: float) -> DataFrame:
+    """Sessions from pieces of sessions that may overlap: (user, session_start, session_end, events)."""
+    gap = int(gap_minutes * 60_000_000)
+    rows = pieces.select(user, micros(F.col("session_start")).alias("first"), micros(F.col("session_end")).alias("last"), "events")
+    line = W.partitionBy(user).orderBy("first", "last")
+    before = F.max("last").over(line.rowsBetween(W.unboundedPreceding, -1))
+    rows = rows.withColumn("new", F.coalesce((F.col("first") - before > gap).cast("int"), F.lit(1)))
+    rows = rows.withColumn("session", F.sum("new").over(line.rowsBetween(W.unboundedPreceding, 0)))
+    return rows.groupBy(user, "session").agg(
+        F.timestamp_micros(F.min("first")).alias("session_start"), F.timestamp_micros(F.max("last")).alias("session_end"), F.sum("events").alias("events")
+    ).drop("session")
+
+
 def session_summary(sessions: DataFrame, user: str) -> DataFrame:
     """(user, session_count, avg_session_duration in minutes)."""
     minutes = (micros(F.col("session_end")) - micros(F.col("session_start"))) / F.lit(60_000_000.0)

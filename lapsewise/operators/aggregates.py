@@ -1,6 +1,7 @@
 """Retention reports: one grouped aggregate each, over raw, winsorised or segmented players."""
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lapsewise import constants as K
@@ -88,12 +89,12 @@ def histogram(df: DataFrame, column: Column, bins: int, by: str | None = K.LABEL
         placed = with_overall(rows, span, {"lo": "lo", "hi": "hi"})
     else:
         placed = rows.join(F.broadcast(rows.groupBy("label").agg(*limits)), "label")
-    totals = F.broadcast(rows.groupBy("label").agg(F.count(F.lit(1)).alias("total")))
     width = (F.col("hi") - F.col("lo")) / float(bins)
     counted = placed.groupBy("label", "lo", "hi", equal_width_bin(F.col("x"), F.col("lo"), F.col("hi"), bins).alias("bin")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    return counted.join(totals, "label").select(
+    # a label's total is the sum of its few bins
+    return counted.withColumn("total", F.sum("n").over(W.partitionBy("label"))).select(
         "label",
         "bin",
         (F.col("lo") + F.col("bin") * width).alias("low"),
@@ -259,13 +260,14 @@ def top_churn_correlations(df: DataFrame, n: int = 5) -> DataFrame:
     ).limit(n)
 
 
-def cohort_retention(df: DataFrame, first: int = 12) -> DataFrame:
-    """(join_month, total, retained, retention_rate) of the earliest months."""
-    return df.groupBy(F.date_format("join_date", "yyyy-MM").alias("join_month")).agg(
+def cohort_retention(df: DataFrame, first: int | None = None) -> DataFrame:
+    """(join_month, total, retained, retention_rate) of all months, or of the earliest ones if asked."""
+    months = df.groupBy(F.date_format("join_date", "yyyy-MM").alias("join_month")).agg(
         F.count(F.lit(1)).alias("total"), count_if(F.col(K.LABEL) == 0).alias("retained")
     ).withColumn(
         "retention_rate", round_even(F.col("retained") / F.col("total") * 100.0, 1)
-    ).orderBy("join_month").limit(first)
+    ).orderBy("join_month")
+    return months if first is None else months.limit(first)
 
 
 def engagement_funnel(df: DataFrame) -> DataFrame:

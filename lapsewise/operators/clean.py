@@ -21,14 +21,14 @@ MAX_CATEGORIES = 1000
 
 
 def remove_duplicates(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Keep the row with the smallest ``order`` per key.
+    """Keep the row with the smallest ``order`` per key; null comes last, ties go by the other columns.
 
-    A min_by aggregate combines on the map side, so a key with very many copies sends one row
-    per task instead of all its copies to one window partition.
+    A min aggregate combines on the map side, so a key with very many copies sends one row per
+    task instead of all its copies to one window partition.
     """
-    rest = [c for c in df.columns if c != key]
-    first = F.min_by(F.struct(*rest), F.col(order)).alias("_first")
-    return df.groupBy(key).agg(first).select(key, "_first.*").select(*df.columns)
+    rest = [c for c in df.columns if c not in (key, order)]
+    first = F.min(F.struct(F.col(order).isNull().alias("_last"), order, *rest)).alias("_first")
+    return df.groupBy(key).agg(first).select(*(F.col(c if c == key else f"_first.`{c}`").alias(c) for c in df.columns))
 
 
 def duplicate_count(df: DataFrame, key: str) -> DataFrame:

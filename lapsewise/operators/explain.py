@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lapsewise import constants as K
@@ -162,11 +163,19 @@ def beeswarm(attributions: DataFrame, shown: int = 15) -> DataFrame:
 
 
 def waterfall(attributions: DataFrame, scored: DataFrame, base: float, shown: int = 12, key: str = K.ID) -> DataFrame:
-    """Ordered contributions of the player with the highest probability (smallest id on ties)."""
+    """Ordered contributions of the player with the highest probability (smallest id on ties).
+
+    Features beyond the ``shown`` - 1 largest are one row, so base and contributions add up to the score.
+    """
     chosen = scored.orderBy(F.desc("churn_prob"), key).limit(1).select(key)
-    return attributions.join(F.broadcast(chosen), key, "left_semi").orderBy(
-        F.desc(F.abs("contribution")), "feature"
-    ).limit(shown).withColumn("base_value", F.lit(base))
+    own = attributions.join(F.broadcast(chosen), key, "left_semi")
+    largest = W.partitionBy(key).orderBy(F.desc(F.abs("contribution")), "feature")
+    own = own.withColumn("_place", F.row_number().over(largest)).withColumn("_all", F.count("*").over(W.partitionBy(key)))
+    alone = (F.col("_place") < shown) | (F.col("_all") <= shown)
+    rows = own.groupBy(key, F.when(alone, F.col("feature")).otherwise(F.lit("other features")).alias("feature")).agg(
+        F.max(F.when(alone, F.col("value"))).alias("value"), F.sum("contribution").alias("contribution"), F.min("_place").alias("_place")
+    )
+    return rows.orderBy("_place").drop("_place").withColumn("base_value", F.lit(base))
 
 
 def top_reasons(attributions: DataFrame, n: int = 3, key: str = K.ID) -> DataFrame:

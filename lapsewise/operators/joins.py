@@ -3,8 +3,6 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A lookup with at most this many rows is broadcast; the size is counted first.
-BROADCAST_ROWS = 200_000
 # A key with more matching rows than this is split over several tasks.
 HOT_ROWS = 5_000_000
 NULL_SPREAD = 64
@@ -17,28 +15,23 @@ def join_lookup(
     weight: str,
     spread: list[str],
     how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
-    rows: int | None = None,
 ) -> DataFrame:
     """Join ``big`` to a lookup that has one row per key.
 
     ``weight`` is the lookup column with the number of rows of ``big`` that carry the key; it is
-    dropped. A small lookup (``rows``, counted here if not known) is broadcast. Otherwise a hot key is split into weight / hot_rows
-    parts: its lookup row is repeated once per part and its rows in ``big`` are spread over the
-    parts by a hash of ``spread``. There are at most total_rows / hot_rows hot keys, which bounds
-    the broadcast list of them. Rows with a null key never match and are spread as well.
+    dropped. A hot key is split into weight / hot_rows parts: its lookup row is repeated once per
+    part and its rows in ``big`` are spread over the parts by a hash of ``spread``. Rows with a null
+    key never match and are spread as well. There is one plan; whether a side is small enough to be
+    broadcast is left to Spark, which knows its size when the join runs.
     """
-    if (lookup.count() if rows is None else rows) <= broadcast_rows:
-        return big.join(F.broadcast(lookup.drop(weight)), on, how)
-
     parts = F.ceil(F.col(weight) / F.lit(float(hot_rows))).cast("bigint")
     hot = lookup.where(F.col(weight) > hot_rows).select(*on, parts.alias("_parts"))
     row_hash = F.xxhash64(*spread)
     any_null = F.lit(False)
     for key in on:
         any_null = any_null | F.col(key).isNull()
-    salted = big.join(F.broadcast(hot), on, "left").withColumn(
+    salted = big.join(hot, on, "left").withColumn(
         "_salt",
         F.when(any_null, F.pmod(row_hash, F.lit(NULL_SPREAD)))
         .otherwise(F.coalesce(F.pmod(row_hash, F.col("_parts")), F.lit(0)))

@@ -1,40 +1,33 @@
 """Running totals, ranks and exact quantiles without an unbounded single-partition window.
 
 Rows are first collapsed to one row per (group, distinct value) with counts, so ties of any size
-become one row. If at most ONE_TASK_ROWS rows are left (this is counted, not guessed), one window
-per group does the rest. Otherwise the collapsed table is range-partitioned by (group, value) and
-written together with the number of the range each row fell into. Because that number is stored,
-recomputing a lost task cannot change it. A running total is then: total of all earlier ranges
-(one row per range and group) plus a window inside the range.
+become one row. The collapsed table is range-partitioned by (group, value) and written together
+with the number of the range each row fell into; the number of ranges is the session's number of
+shuffle partitions. Because a row's range is stored, recomputing a lost task cannot change it. A
+running total is then: total of all earlier ranges (one row per range and group) plus a window
+inside the range. There is one plan for every size.
 
 ``by`` columns are for few groups (features, labels, segments, strata), not for one group per
 player.
 """
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lapsewise.operators.joins import BROADCAST_ROWS, join_lookup
+from lapsewise.operators.joins import join_lookup
 from lapsewise.sources.workspace import materialise
 
-ONE_TASK_ROWS = 500_000
-
 
 def into_ranges(table: DataFrame, value: str, by: list[str] = (), ranges: int | None = None) -> DataFrame:
-    """Write the table; beyond ONE_TASK_ROWS rows, range-partitioned with the range in ``_range``.
+    """Write the table range-partitioned, with the range in ``_range``.
 
     (by, value) has to be unique, so that no value spans two ranges.
     """
-    written = materialise(table, "collapsed")
-    rows = written.count()
-    if rows <= ONE_TASK_ROWS:
-        return written
     if ranges is None:
-        configured = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranges = max(configured, math.ceil(rows / max(ONE_TASK_ROWS, 10_000)))
+        ranges = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # range bounds are sampled, which would run the table's plan twice
+    written = materialise(table, "collapsed")
     placed = written.repartitionByRange(ranges, *by, value).withColumn("_range", F.spark_partition_id())
     return materialise(placed, "ranges")
 
@@ -45,19 +38,11 @@ def collapse(
     by: list[str] = (),
     sums: dict | None = None,
     ranges: int | None = None,
-    at_most: int | None = None,
 ) -> DataFrame:
-    """One row per (by, value): row count ``n`` and the requested sums.
-
-    ``at_most`` is a known bound on the number of rows of ``df``; a small one leaves the result
-    lazy, otherwise it is written and counted.
-    """
+    """One row per (by, value), placed in ranges: row count ``n`` and the requested sums."""
     aggregates = [F.count(F.lit(1)).alias("n")]
     aggregates += [F.sum(expr).alias(name) for name, expr in (sums or {}).items()]
-    collapsed = df.groupBy(*by, value).agg(*aggregates)
-    if at_most is not None and at_most <= ONE_TASK_ROWS:
-        return collapsed
-    return into_ranges(collapsed, value, list(by), ranges)
+    return into_ranges(df.groupBy(*by, value).agg(*aggregates), value, list(by), ranges)
 
 
 def running_totals(
@@ -70,13 +55,6 @@ def running_totals(
     """Add ``cum_<m>`` (inclusive, in value order) and ``total_<m>`` for each measure."""
     direction = F.desc if descending else F.asc
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    if "_range" not in placed.columns:
-        upto = group.orderBy(direction(value)).rowsBetween(W.unboundedPreceding, W.currentRow)
-        return placed.select(
-            "*",
-            *[F.sum(m).over(group).alias(f"total_{m}") for m in measures],
-            *[F.sum(m).over(upto).alias(f"cum_{m}") for m in measures],
-        )
     totals = placed.groupBy(*by, "_range").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
     earlier = group.orderBy(direction("_range")).rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
@@ -90,7 +68,7 @@ def running_totals(
         .orderBy(direction(value))
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    joined = placed.join(F.broadcast(offsets), [*by, "_range"])
+    joined = placed.join(offsets, [*by, "_range"])
     summed = joined.select(
         "*", *[(F.col(f"_before_{m}") + F.sum(m).over(inside)).alias(f"cum_{m}") for m in measures]
     )
@@ -106,11 +84,10 @@ def unpivot_numeric(df: DataFrame, columns: list[str], keep: list[str] = ()) ->
 def quantiles(df: DataFrame, columns: list[str], fractions: list[float], by: list[str] = ()) -> DataFrame:
     """Exact linear-interpolation quantiles: (by..., feature, fraction, quantile).
 
-    One pass over the data serves all columns, groups and fractions. ``df`` should be a stored
-    table: its rows are counted first, which then reads file footers only.
+    One pass over the data serves all columns, groups and fractions.
     """
     keys = [*by, "feature"]
-    placed = collapse(unpivot_numeric(df, columns, by), "value", keys, at_most=df.count() * len(columns))
+    placed = collapse(unpivot_numeric(df, columns, by), "value", keys)
     ranked = running_totals(placed, "value", ["n"], keys)
     first = F.col("cum_n") - F.col("n")  # 0-based position of the first row with this value
 
@@ -148,26 +125,21 @@ def rank_table(placed: DataFrame) -> DataFrame:
     return ranked.select("feature", "value", "n", pct.alias("pct"))
 
 
-def with_rank_pct(
-    df: DataFrame, columns: dict[str, str], key: str, broadcast_rows: int = BROADCAST_ROWS, **join_options
-) -> DataFrame:
+def with_rank_pct(df: DataFrame, columns: dict[str, str], key: str, **join_options) -> DataFrame:
     """Add the percentile rank of each column: {source column: new column}; null stays null.
 
-    ``df`` should be a stored table, as for ``quantiles``.
+    ``df`` should be a stored table: it is read for the ranks and again for the rows.
     """
     # ranks are used once per column, so they are written; the table has one row per distinct value
-    placed = collapse(unpivot_numeric(df, list(columns)), "value", ["feature"], at_most=df.count() * len(columns))
+    placed = collapse(unpivot_numeric(df, list(columns)), "value", ["feature"])
     ranked = materialise(rank_table(placed), "ranks")
-    sizes = {r["feature"]: r["count"] for r in ranked.groupBy("feature").count().collect()}
     out = df
     for source, name in columns.items():
         lookup = ranked.where(F.col("feature") == source).select(
             F.col("value").alias("_value"), "n", F.col("pct").alias(name)
         )
         out = out.withColumn("_value", F.col(source).cast("double"))
-        out = join_lookup(
-            out, lookup, ["_value"], "n", [key], broadcast_rows=broadcast_rows, rows=sizes.get(source, 0), **join_options
-        ).drop("_value")
+        out = join_lookup(out, lookup, ["_value"], "n", [key], **join_options).drop("_value")
     return out
 
 

@@ -1,9 +1,6 @@
 """K-Means segments: fit, quality, naming, projection."""
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
@@ -14,13 +11,11 @@ from pyspark.sql import functions as F
 from lapsewise import constants as K
 from lapsewise.functions.numeric import num
 from lapsewise.operators.clean import assemble, fill_constants, fit_median, standard_scale
-from lapsewise.operators.joins import with_lookup
+from lapsewise.operators.joins import with_lookup, with_overall
 from lapsewise.operators.ranks import seeded_sample
 from lapsewise.sources.tables import available
 from lapsewise.sources.workspace import materialise
 
-MAX_SAMPLE = 10_000
-
 
 def cluster_matrix(df: DataFrame, columns: list[str] = K.CLUSTER_FEATURES, keep: list[str] = (K.ID,)) -> tuple[DataFrame, list[str]]:
     """Median-imputed, scaled columns that the table has; absent ones are skipped."""
@@ -125,43 +120,35 @@ def squared_silhouette(assigned: DataFrame, features: list[str]) -> float:
     )
 
 
-def sampled_silhouette(assigned: DataFrame, features: list[str], n: int = 5000, key: str = K.ID, seed: int = 42) -> DataFrame:
-    """(cluster_id, n, silhouette): Euclidean silhouette within a seeded sample of n <= 10 000 rows.
+def silhouette_by_cluster(assigned: DataFrame, features: list[str]) -> DataFrame:
+    """(cluster_id, n, silhouette) on squared Euclidean distance, from all rows.
 
-    The sample is the feature and its size is fixed, so it may be broadcast; each task compares
-    its sample rows with the whole sample.
+    The mean squared distance from a point to a cluster follows from the cluster's count, centre
+    and mean squared norm, so one pass gathers a row per cluster and a second one places each point.
+    A point alone in its cluster, or the points of a single cluster, count 0.
     """
-    if n > MAX_SAMPLE:
-        raise ValueError(f"the sample is compared with itself; at most {MAX_SAMPLE} rows")
-    sample = materialise(seeded_sample(assigned.select(key, "cluster_id", *features), key, n, seed), "sample")
-    local = sample.toPandas()
-    shipped = sample.sparkSession.sparkContext.broadcast(
-        (local[features].to_numpy(float), local["cluster_id"].to_numpy())
-    )
+    point = F.array(*[num(c) for c in features])
+
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        points, labels = shipped.value
-        clusters = np.unique(labels)
-        members = np.array([(labels == c).sum() for c in clusters])
-        for batch in batches:
-            out = []
-            for x, own in zip(batch[features].to_numpy(float), batch["cluster_id"].to_numpy()):
-                dist = np.sqrt(((points - x) ** 2).sum(axis=1))
-                sums = np.array([dist[labels == c].sum() for c in clusters])
-                mine = clusters == own
-                if members[mine][0] <= 1 or len(clusters) < 2:
-                    out.append(0.0)
-                    continue
-                near = sums[mine][0] / (members[mine][0] - 1)
-                other = (sums[~mine] / members[~mine]).min()
-                top = max(near, other)
-                out.append((other - near) / top if top > 0 else 0.0)
-            yield pd.DataFrame({"cluster_id": batch["cluster_id"], "s": out})
-
-    spread = sample.repartition(int(sample.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
-    return spread.mapInPandas(run, "cluster_id int, s double").groupBy("cluster_id").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("s").alias("silhouette")
+    rows = assigned.select("cluster_id", point.alias("x")).withColumn("norm", dot(F.col("x"), F.col("x")))
+    clusters = rows.groupBy("cluster_id").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.avg(F.col("x")[i]) for i in range(len(features))]).alias("centre"), F.avg("norm").alias("norm")
     )
+    listed = clusters.agg(F.collect_list(F.struct("cluster_id", "n", "centre", "norm")).alias("all"))
+    placed = with_overall(rows, listed, {"all": "all"})
+    away = F.transform("all", lambda c: F.struct(
+        c["cluster_id"].alias("cluster_id"), c["n"].alias("n"),
+        F.greatest(F.col("norm") - 2.0 * dot(F.col("x"), c["centre"]) + c["norm"], F.lit(0.0)).alias("d"),
+    ))
+    placed = placed.select("cluster_id", away.alias("away"))
+    own = F.filter("away", lambda c: c["cluster_id"] == F.col("cluster_id"))[0]
+    other = F.array_min(F.transform(F.filter("away", lambda c: c["cluster_id"] != F.col("cluster_id")), lambda c: c["d"]))
+    near = F.when(own["n"] > 1, own["d"] * own["n"] / (own["n"] - 1))
+    each = placed.select("cluster_id", near.alias("near"), other.alias("other"))
+    value = F.coalesce(F.try_divide(F.col("other") - F.col("near"), F.greatest("near", "other")), F.lit(0.0))
+    return each.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), F.avg(F.when(F.col("near").isNull(), 0.0).otherwise(value)).alias("silhouette"))
 
 
 def davies_bouldin(assigned: DataFrame, features: list[str]) -> DataFrame:
@@ -206,7 +193,7 @@ def project_2d(matrix: DataFrame, features: list[str], keep: list[str] = (K.ID,)
     return points, float(sum(model.explainedVariance) * 100.0)
 
 
-def fallback_scatter(df: DataFrame, n: int = 5000, key: str = K.ID, seed: int = 42) -> DataFrame:
-    """Engagement against RFM score for a seeded sample."""
+def fallback_scatter(df: DataFrame, n: int | None = None, key: str = K.ID, seed: int = 42) -> DataFrame:
+    """Engagement against RFM score of all players, or of a seeded sample if asked."""
     wanted = [key, "engagement_score", "rfm_score", "segment", "session_count", "total_spend_usd", "win_rate"]
-    return seeded_sample(df, key, n, seed).select(*available(df, wanted))
+    return (df if n is None else seeded_sample(df, key, n, seed)).select(*available(df, wanted))

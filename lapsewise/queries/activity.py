@@ -50,44 +50,27 @@ def rolling_activity_7d(spark, sf_dir):
     return out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
-# A stream in append mode gives a window once the watermark (latest event minus 2 days) has passed its end.
-_MARK = "(SELECT max(ts) - INTERVAL 2 DAY FROM events)"
+def _partial(spark, sf_dir):
+    out = new_path(spark, "activity")
+    events = T.read_events(spark, f"{sf_dir}/events.parquet*")
+    T.start_partial_sink(events, out, new_path(spark, "activity-progress"), gap_minutes=GAP_MINUTES).awaitTermination()
+    return out
 
 
-def _run(spark, stream, name):
-    out = new_path(spark, name)
-    T.start_file_sink(stream, out, new_path(spark, f"{name}-progress")).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
-
-
-def _events(spark, sf_dir):
-    return T.read_events(spark, f"{sf_dir}/events.parquet*")
-
-
-@query(
-    "stream_daily_counts",
-    f"WITH {_DAILY} SELECT user_id, strftime(day, '%Y-%m-%d') AS day, events FROM d WHERE day + INTERVAL 1 DAY <= {_MARK}",
-)
+@query("stream_daily_counts", f"WITH {_DAILY} SELECT user_id, strftime(day, '%Y-%m-%d') AS day, events FROM d")
 def stream_daily_counts(spark, sf_dir):
-    out = _run(spark, T.flat_daily(T.daily_counts(_events(spark, sf_dir))), "daily")
-    return out.select("user_id", F.date_format("day_start", "yyyy-MM-dd").alias("day"), "events")
+    return T.merged_days(spark, _partial(spark, sf_dir)).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 @query(
     "stream_weekly_counts",
     f"""WITH {_DAILY}, x AS (SELECT user_id, day + CAST(k AS INTEGER) AS last_day, events FROM d, range(7) t(k))
-        SELECT user_id, strftime(last_day, '%Y-%m-%d') AS last_day, CAST(sum(events) AS BIGINT) AS trailing FROM x
-        WHERE last_day + INTERVAL 1 DAY <= {_MARK} GROUP BY user_id, last_day""",
+        SELECT user_id, strftime(last_day, '%Y-%m-%d') AS last_day, CAST(sum(events) AS BIGINT) AS trailing FROM x GROUP BY user_id, last_day""",
 )
 def stream_weekly_counts(spark, sf_dir):
-    out = _run(spark, T.weekly_counts(_events(spark, sf_dir)), "weekly")
-    return out.withColumn("last_day", F.date_format("last_day", "yyyy-MM-dd"))
+    return T.merged_weeks(spark, _partial(spark, sf_dir)).withColumn("last_day", F.date_format("last_day", "yyyy-MM-dd"))
 
 
-@query(
-    "stream_session_counts",
-    f"""{_SESSIONS} SELECT user_id, first, last, events FROM s
-        WHERE last + {GAP_MINUTES * 60_000_000} <= epoch_us({_MARK})""",
-)
+@query("stream_session_counts", f"{_SESSIONS} SELECT user_id, first, last, events FROM s")
 def stream_session_counts(spark, sf_dir):
-    return _in_micros(_run(spark, T.session_counts(_events(spark, sf_dir), gap=f"{GAP_MINUTES} minutes"), "sessions"))
+    return _in_micros(T.merged_sessions(spark, _partial(spark, sf_dir), gap_minutes=GAP_MINUTES))

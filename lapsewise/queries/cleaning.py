@@ -47,6 +47,21 @@ def remove_duplicates(spark, sf_dir):
     return C.remove_duplicates(order, "l_orderkey", "_order").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
 
+@query(
+    "remove_duplicates_null_order",
+    """SELECT l_orderkey, seq, l_partkey, l_quantity FROM (
+         SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY seq NULLS LAST, l_partkey, l_quantity) AS rn
+         FROM (SELECT l_orderkey, CASE WHEN l_linenumber % 2 = 0 THEN l_linenumber END AS seq, l_partkey, l_quantity FROM lineitem))
+       WHERE rn = 1""",
+)
+def remove_duplicates_null_order(spark, sf_dir):
+    """Orders of one line have no order value at all; every other line of the rest has none."""
+    rows = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.when(F.col("l_linenumber") % 2 == 0, F.col("l_linenumber")).alias("seq"), "l_partkey", "l_quantity"
+    )
+    return C.remove_duplicates(rows, "l_orderkey", "seq")
+
+
 @query(
     "duplicate_count",
     'SELECT count(*) AS "rows", count(DISTINCT l_orderkey) AS kept, count(*) - count(DISTINCT l_orderkey) AS removed FROM lineitem',

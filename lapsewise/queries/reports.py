@@ -189,30 +189,33 @@ def log_spend_density(spark, sf_dir):
     return rounded(A.log_spend_density(stored_players(spark, sf_dir, ["churn_label", "total_spend_usd"])), 6, "low", "high", "density")
 
 
-_LOSS_EDGES, _LOSS_NAMES = K.LOSS_BINS
+# written out, with an open end, so that the SQL doesn't share the operator's edges
+_LOSSES = {
+    "0": "consecutive_losses = 0", "1-2": "consecutive_losses BETWEEN 1 AND 2", "3-4": "consecutive_losses BETWEEN 3 AND 4",
+    "5-6": "consecutive_losses BETWEEN 5 AND 6", "7-10": "consecutive_losses BETWEEN 7 AND 10", "11+": "consecutive_losses >= 11",
+}
+_FRIENDS = {"0": (0, 0), "1-2": (1, 2), "3-5": (3, 5), "6-10": (6, 10), "11-20": (11, 20), "21-50": (21, 50), "50+": (51, "9e18")}
 
 
 @query(
     "churn_mode_by_losses",
     with_(PLAYERS, "SELECT game_mode_primary AS game_mode, " + ", ".join(
-        f"""{r(f"avg(CASE WHEN consecutive_losses > {lo} AND consecutive_losses <= {hi} THEN CAST(churn_label AS DOUBLE) END) * 1e2", 6)} AS "{name}" """
-        for lo, hi, name in zip(_LOSS_EDGES, _LOSS_EDGES[1:], _LOSS_NAMES)
+        f"""{r(f"avg(CASE WHEN {rule} THEN CAST(churn_label AS DOUBLE) END) * 1e2", 6)} AS "{name}" """
+        for name, rule in _LOSSES.items()
     ) + "FROM p WHERE game_mode_primary IS NOT NULL GROUP BY 1"),
 )
 def churn_mode_by_losses(spark, sf_dir):
     df = players(spark, sf_dir, [K.MODE, "churn_label", "consecutive_losses"])
-    return rounded(A.churn_mode_by_losses(df), 6, *_LOSS_NAMES)
+    return rounded(A.churn_mode_by_losses(df), 6, *_LOSSES)
 
 
-_FRIENDS = " UNION ALL ".join(
-    f"SELECT '{name}' AS friend_bin, {lo} AS lo, {hi} AS hi" for lo, hi, name in zip(K.FRIEND_BINS[0], K.FRIEND_BINS[0][1:], K.FRIEND_BINS[1])
-)
+_FRIEND_ROWS = " UNION ALL ".join(f"SELECT '{name}' AS friend_bin, {lo} AS lo, {hi} AS hi" for name, (lo, hi) in _FRIENDS.items())
 
 
 @query(
     "churn_by_friends",
     with_(PLAYERS, f"""SELECT friend_bin, {r(CHURN, 6)} AS churn_rate, count(churn_label) AS n, {r(f"{CHURN} * 1e2", 6)} AS churn_pct
-      FROM ({_FRIENDS}) b LEFT JOIN p ON coalesce(friend_count, 0) > lo AND coalesce(friend_count, 0) <= hi GROUP BY 1"""),
+      FROM ({_FRIEND_ROWS}) b LEFT JOIN p ON coalesce(friend_count, 0) BETWEEN lo AND hi GROUP BY 1"""),
 )
 def churn_by_friends(spark, sf_dir):
     return rounded(A.churn_by_friends(players(spark, sf_dir, ["churn_label", "friend_count"])), 6, "churn_rate", "churn_pct")
@@ -242,7 +245,7 @@ def top_churn_correlations(spark, sf_dir):
 @query(
     "cohort_retention",
     with_(PLAYERS, f"""SELECT strftime(join_date, '%Y-%m') AS join_month, count(*) AS total, count(*) FILTER (WHERE churn_label = 0) AS retained,
-      {r("count(*) FILTER (WHERE churn_label = 0) / count(*) * 1e2", 1)} AS retention_rate FROM p GROUP BY 1 ORDER BY 1 LIMIT 12"""),
+      {r("count(*) FILTER (WHERE churn_label = 0) / count(*) * 1e2", 1)} AS retention_rate FROM p GROUP BY 1"""),
 )
 def cohort_retention(spark, sf_dir):
     return A.cohort_retention(players(spark, sf_dir, ["join_date", "churn_label"]))

@@ -212,7 +212,7 @@ def kmeans_scan(spark, sf_dir):
 def kmeans_silhouette(spark, sf_dir):
     _, matrix, features = _matrix(spark, sf_dir)
     assigned = S.assign(matrix, features, S.fit_kmeans(matrix, features, restarts=2, max_iter=100))
-    return S.sampled_silhouette(assigned, features, 2000)
+    return S.silhouette_by_cluster(materialise(assigned, "assigned"), features)
 
 
 @query("kmeans_embeddings_quality")
@@ -237,8 +237,7 @@ def pca_scatter(spark, sf_dir):
 
 @query(
     "fallback_scatter",
-    with_(SEGMENTED, """SELECT player_id, engagement_score, rfm_score, segment, session_count, total_spend_usd, win_rate FROM s
-      ORDER BY md5(player_id || '#42'), player_id LIMIT 5000"""),
+    with_(SEGMENTED, """SELECT player_id, engagement_score, rfm_score, segment, session_count, total_spend_usd, win_rate FROM s"""),
 )
 def fallback_scatter(spark, sf_dir):
-    return S.fallback_scatter(segmented(spark, sf_dir), 5000)
+    return S.fallback_scatter(segmented(spark, sf_dir))

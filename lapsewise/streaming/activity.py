@@ -1,10 +1,17 @@
-"""Event-time activity windows with watermarks."""
+"""Event-time activity: windows with watermarks, and complete results by merging on read.
+
+A stream in append mode gives a window once the watermark has passed its end, and drops later
+events. ``start_partial_sink`` keeps no state instead: each micro-batch writes its own day counts
+and session pieces, under its batch number, so a repeated batch replaces itself. Readers add the
+counts and stitch the pieces, and at any time see all events read so far, late ones among them.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lapsewise.operators.activity import sessionize, stitched
 from lapsewise.schema import EVENT_SCHEMA
 
 
@@ -69,3 +76,37 @@ def late_rows(query: StreamingQuery) -> int:
     return sum(
         int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p["stateOperators"]
     )
+
+
+def start_partial_sink(
+    events: DataFrame, path: str, checkpoint: str, user: str = "user_id", ts: str = "ts", gap_minutes: float = 30.0, once: bool = True
+) -> StreamingQuery:
+    """Write each micro-batch's day counts and session pieces; a hot user's events are cut by time in both."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = batch.select(user, ts).persist()
+        days = rows.where(F.col(ts).isNotNull()).groupBy(user, F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("events"))
+        days.write.mode("overwrite").parquet(f"{path}/days/batch={number}")
+        sessionize(rows, user, ts, gap_minutes).write.mode("overwrite").parquet(f"{path}/sessions/batch={number}")
+        rows.unpersist()
+
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def merged_days(spark: SparkSession, path: str, user: str = "user_id") -> DataFrame:
+    """(user, day, events) of all batches."""
+    return spark.read.parquet(f"{path}/days").groupBy(user, "day").agg(F.sum("events").alias("events"))
+
+
+def merged_weeks(spark: SparkSession, path: str, user: str = "user_id") -> DataFrame:
+    """(user, last_day, trailing): events of the seven days that end on last_day, also on days without events."""
+    days = merged_days(spark, path, user)
+    return days.select(user, F.explode(F.sequence("day", F.date_add("day", 6))).alias("last_day"), "events").groupBy(user, "last_day").agg(
+        F.sum("events").alias("trailing")
+    )
+
+
+def merged_sessions(spark: SparkSession, path: str, user: str = "user_id", gap_minutes: float = 30.0) -> DataFrame:
+    """(user, session_start, session_end, events) of all batches."""
+    return stitched(spark.read.parquet(f"{path}/sessions").drop("batch"), user, gap_minutes)

@@ -50,6 +50,13 @@ def test_duplicates_keep_the_first_by_order(spark):
     assert C.duplicate_count(df, "player_id").first().asDict() == {"rows": 4, "kept": 2, "removed": 2}
 
 
+def test_duplicates_without_order_and_with_ties(spark):
+    rows = [("a", None, 5, "x"), ("b", None, 7, "x"), ("b", 2, 9, "y"), ("b", 2, 8, "z"), ("c", None, 3, None), ("c", None, 2, "q"), (None, 1, 1, "n")]
+    df = spark.createDataFrame(rows, "k string, seq int, x int, y string")
+    got = {tuple(r) for r in C.remove_duplicates(df, "k", "seq").collect()}
+    assert got == {("a", None, 5, "x"), ("b", 2, 8, "z"), ("c", None, 2, "q"), (None, 1, 1, "n")}
+
+
 def test_winsorise(players):
     pdf = players.toPandas()
     limits = C.fit_winsor(players, N)
@@ -146,9 +153,7 @@ def test_splits_are_disjoint_complete_and_stable(players, cut):
     assert S.split_overlap(cut(players)).count() == 0
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 500_000])
-def test_exact_split_is_stratified(players, monkeypatch, one_task_rows):
-    monkeypatch.setattr("lapsewise.operators.ranks.ONE_TASK_ROWS", one_task_rows)
+def test_exact_split_is_stratified(players):
     counts = {(r["split"], r["churn_label"]): r["count"] for r in S.exact_split(players).groupBy("split", "churn_label").count().collect()}
     for label in (0, 1):
         total = sum(v for (_, y), v in counts.items() if y == label)

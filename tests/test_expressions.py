@@ -35,8 +35,8 @@ def test_nan_and_ratio(spark):
 
 
 @pytest.mark.parametrize("bins, values, want", [
-    (K.LOSS_BINS, [0, 1, 2, 3, 4, 5, 6, 7, 10, 11, 15, 16, -1], ["0", "1-2", "1-2", "3-4", "3-4", "5-6", "5-6", "7-10", "7-10", "11+", "11+", None, None]),
-    (K.FRIEND_BINS, [0, 2, 3, 5, 6, 10, 11, 20, 21, 50, 51, 200], ["0", "1-2", "3-5", "3-5", "6-10", "6-10", "11-20", "11-20", "21-50", "21-50", "50+", "50+"]),
+    (K.LOSS_BINS, [0, 1, 2, 3, 4, 5, 6, 7, 10, 11, 15, 16, -1], ["0", "1-2", "1-2", "3-4", "3-4", "5-6", "5-6", "7-10", "7-10", "11+", "11+", "11+", None]),
+    (K.FRIEND_BINS, [0, 2, 3, 5, 6, 10, 11, 20, 21, 50, 51, 200, 201, 10_000], ["0", "1-2", "3-5", "3-5", "6-10", "6-10", "11-20", "11-20", "21-50", "21-50", "50+", "50+", "50+", "50+"]),
 ])
 def test_right_closed_bins(spark, bins, values, want):
     assert one(spark, values, lambda c: N.right_closed_bin(c, *bins), "int") == want

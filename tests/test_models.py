@@ -211,7 +211,10 @@ def test_risk_table(spark, trained):
     assert everything.count() == m.part("test").count() * len(bundle.features)
     scored = M.score(bundle.model, assemble(m.part("test"), bundle.features))
     shown = G.waterfall(everything, scored, 0.0, 4).collect()
-    assert len(shown) == 4 and len({r["player_id"] for r in shown}) == 1
+    assert len(shown) == 4 and len({r["player_id"] for r in shown}) == 1 and shown[-1]["feature"] == "other features"
+    own = everything.where(F.col("player_id") == shown[0]["player_id"]).collect()
+    assert abs(sum(r["contribution"] for r in shown) - sum(r["contribution"] for r in own)) < 1e-9
+    assert len(G.waterfall(everything, scored, 0.0, len(own)).collect()) == len(own)
     assert len(G.top_features(everything).collect()) == 10
 
 

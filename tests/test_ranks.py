@@ -30,17 +30,9 @@ def table(spark, numbers):
     return spark.createDataFrame(list(clean.itertuples(index=False)), "player_id string, spend double, sessions double, label int")
 
 
-@pytest.fixture(params=["one task", "ranges"])
-def any_size(request, monkeypatch):
-    """Run a test on the small path and on the range-partitioned one."""
-    if request.param == "ranges":
-        monkeypatch.setattr(X, "ONE_TASK_ROWS", 0)
-    return request.param
-
-
 @pytest.mark.parametrize("ranges", [1, 7])
 @pytest.mark.parametrize("descending", [False, True])
-def test_running_totals(table, numbers, any_size, ranges, descending):
+def test_running_totals(table, numbers, ranges, descending):
     rows = table.select("label", F.coalesce("spend", F.lit(0.0)).alias("value"))
     placed = X.collapse(rows, "value", ["label"], {"amount": F.col("value")}, ranges)
     got = X.running_totals(placed, "value", ["n", "amount"], ["label"], descending).toPandas()
@@ -53,15 +45,14 @@ def test_running_totals(table, numbers, any_size, ranges, descending):
     assert (both["cum_n"] == both["cum_n_want"]).all() and (both["total_n"] == both["total_n_want"]).all()
 
 
-def test_no_value_spans_two_ranges(table, monkeypatch):
-    monkeypatch.setattr(X, "ONE_TASK_ROWS", 0)
+def test_no_value_spans_two_ranges(table):
     placed = X.collapse(table.select("sessions"), "sessions", ranges=6)
     spans = placed.groupBy("_range").agg(F.min("sessions").alias("a"), F.max("sessions").alias("b")).orderBy("a").collect()
     assert len(spans) > 1
     assert all(x["b"] < y["a"] for x, y in zip(spans, spans[1:]))
 
 
-def test_quantiles_match_numpy(table, numbers, any_size):
+def test_quantiles_match_numpy(table, numbers):
     fractions = [0.0, 0.01, 0.25, 0.5, 0.98, 0.99, 1.0]
     got = X.collect_quantiles(table, ["spend", "sessions"], fractions)
     for column in ("spend", "sessions"):
@@ -69,29 +60,29 @@ def test_quantiles_match_numpy(table, numbers, any_size):
         assert np.allclose([got[column][q] for q in fractions], want, rtol=0, atol=1e-12)
 
 
-def test_quantiles_by_group(table, numbers, any_size):
+def test_quantiles_by_group(table, numbers):
     got = {(r["label"], r["fraction"]): r["quantile"] for r in X.quantiles(table, ["spend"], [0.3, 0.5], ["label"]).collect()}
     for label, part in numbers.groupby("label"):
         for q in (0.3, 0.5):
             assert abs(got[(label, q)] - np.quantile(part["spend"].dropna(), q)) < 1e-12
 
 
-def test_small_golden_sets(spark, any_size):
+def test_small_golden_sets(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 2.0), ("d", 5.0), ("e", 9.0), ("f", None)], "player_id string, x double")
     assert abs(X.collect_quantiles(df, ["x"], [0.99])["x"][0.99] - 8.84) < 1e-12
     ranked = X.with_rank_pct(df, {"x": "pct"}, "player_id").orderBy("player_id").collect()
     assert [r["pct"] for r in ranked] == [0.2, 0.5, 0.5, 0.8, 1.0, None]
 
 
-def test_empty_input(spark, any_size):
+def test_empty_input(spark):
     df = spark.createDataFrame([], "player_id string, x double")
     assert X.collect_quantiles(df, ["x"], [0.5]) == {"x": {}}
     assert X.with_rank_pct(df, {"x": "pct"}, "player_id").count() == 0
     assert X.ecdf(df, "x").count() == 0
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_rows": 0, "hot_rows": 100}])
-def test_rank_pct_matches_pandas(table, numbers, any_size, options):
+@pytest.mark.parametrize("options", [{}, {"hot_rows": 100}])
+def test_rank_pct_matches_pandas(table, numbers, options):
     got = X.with_rank_pct(table, {"spend": "a", "sessions": "b"}, "player_id", **options).toPandas()
     both = got.merge(numbers.assign(wa=numbers["spend"].rank(pct=True), wb=numbers["sessions"].rank(pct=True)), on="player_id")
     assert len(both) == 5000
@@ -104,7 +95,7 @@ def test_hot_key_join_splits_and_loses_nothing(spark):
         F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id")).cast("bigint").alias("k")
     )
     lookup = materialise(big.where("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("w"), (F.max("k") * 2).alias("v")))
-    joined = join_lookup(big, lookup, ["k"], "w", ["id"], broadcast_rows=0, hot_rows=200)
+    joined = join_lookup(big, lookup, ["k"], "w", ["id"], hot_rows=200)
     plain = join_lookup(big, lookup, ["k"], "w", ["id"])
     key = lambda r: r["id"]
     assert sorted(joined.select("id", "k", "v").collect(), key=key) == sorted(plain.select("id", "k", "v").collect(), key=key)
@@ -118,12 +109,12 @@ def test_loss_streak_with_hot_key(spark):
     want = {}
     for k, _, lost in sorted(rows, key=lambda r: r[1]):
         want[k] = want.get(k, 0) + 1 if lost else 0
-    for options in ({}, {"broadcast_rows": 0, "hot_rows": 50}):
+    for options in ({}, {"hot_rows": 50}):
         got = {r["k"]: r["streak"] for r in loss_streak(df, "k", ["t"], F.col("lost"), **options).collect()}
         assert got == want
 
 
-def test_ecdf_and_pareto(table, numbers, any_size):
+def test_ecdf_and_pareto(table, numbers):
     filled = numbers["spend"].fillna(0)
     cdf = X.ecdf(table, "spend").toPandas().sort_values("value")
     assert cdf["cdf"].iloc[-1] == 1.0
@@ -153,3 +144,10 @@ def test_scalar_statistics(table):
     assert out.select("top").distinct().count() == 1
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_every_window_has_a_real_key(table):
+    ranked = X.rank_table(X.collapse(X.unpivot_numeric(table, ["spend", "sessions"]), "value", ["feature"]))
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "_range" in plan and "Window" in plan
+    assert all("feature" in line for line in plan.splitlines() if "Window" in line)

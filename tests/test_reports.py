@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from lapsewise import constants as K
 from lapsewise.operators import aggregates as A
+from lapsewise.operators.clean import with_display_columns
 
 
 def test_friend_bins_keep_empty_ones(spark):
-    values = [None, 0, 2, 3, 5, 6, 10, 21, 50, 51, 200]
+    values = [None, 0, 2, 3, 5, 6, 10, 21, 50, 51, 201]
     df = spark.createDataFrame([(v, i % 2) for i, v in enumerate(values)], "friend_count int, churn_label int")
     got = {r["friend_bin"]: (r["n"], r["churn_pct"]) for r in A.churn_by_friends(df).collect()}
     assert list(sorted(got)) == sorted(K.FRIEND_BINS[1])
@@ -21,6 +22,19 @@ def test_loss_pivot_has_every_column(spark):
     assert got["PvP"]["0"] == 50.0 and got["PvP"]["11+"] is None and got["Solo"]["7-10"] == 100.0
 
 
+def test_nobody_is_beyond_the_last_bin(spark):
+    df = spark.createDataFrame([("PvP", 16, 1, 201, 2e9), ("PvP", 100, 0, 10_000, 5.0)], "game_mode_primary string, consecutive_losses int, churn_label int, friend_count int, total_spend_usd double")
+    assert A.churn_mode_by_losses(df).first()["11+"] == 50.0
+    assert {r["friend_bin"]: r["n"] for r in A.churn_by_friends(df).collect()}["50+"] == 2
+    tiers = {r["tier"]: r["players"] for r in A.spend_tier_counts(with_display_columns(df)).collect()}
+    assert tiers == {"Whale": 1, "Minnow": 1}
+
+
+def test_every_month_is_a_cohort(spark):
+    df = spark.range(40).selectExpr("add_months(date'2020-01-15', cast(id as int)) AS join_date", "0 AS churn_label")
+    assert A.cohort_retention(df).count() == 40 and A.cohort_retention(df, 12).count() == 12
+
+
 def test_funnel_stages_are_independent(spark):
     df = spark.createDataFrame([(1, 50, 5.0), (9, 0, None), (5, 10, 10.0)], "session_count int, achievement_count int, total_spend_usd double")
     got = {r["stage"]: (r["players"], r["pct"]) for r in A.engagement_funnel(df).collect()}

@@ -33,12 +33,15 @@ def test_kmeans_finds_the_blobs(blobs):
 def brute_silhouette(x, labels):
     out = []
     for i in range(len(x)):
-        d = np.linalg.norm(x - x[i], axis=1)
+        d = ((x - x[i]) ** 2).sum(axis=1)
         own = labels == labels[i]
+        if own.sum() == 1:
+            out.append(0.0)
+            continue
         a = d[own].sum() / (own.sum() - 1)
         b = min(d[labels == c].mean() for c in set(labels) if c != labels[i])
         out.append((b - a) / max(a, b))
-    return np.mean(out)
+    return np.array(out)
 
 
 def brute_davies_bouldin(x, labels):
@@ -53,12 +56,13 @@ def test_quality_matches_brute_force(spark, blobs):
     labels = np.arange(200) // 40
     df = spark.createDataFrame([(f"p{i}", int(c), *map(float, v)) for i, (c, v) in enumerate(zip(labels, x))], "player_id string, cluster_id int, a double, b double")
     assert abs(S.davies_bouldin(df, ["a", "b"]).first()[0] - brute_davies_bouldin(x, labels)) < 1e-9
-    parts = S.sampled_silhouette(df, ["a", "b"], 200).collect()
-    got = sum(r["n"] * r["silhouette"] for r in parts) / 200
-    assert abs(got - brute_silhouette(x, labels)) < 1e-9
-    assert sum(r["n"] for r in S.sampled_silhouette(df, ["a", "b"], 60).collect()) == 60
-    with pytest.raises(ValueError):
-        S.sampled_silhouette(df, ["a", "b"], 50_000)
+    labels[0] = 9
+    df = spark.createDataFrame([(int(c), *map(float, v)) for c, v in zip(labels, x)], "cluster_id int, a double, b double")
+    want = brute_silhouette(x, labels)
+    got = {r["cluster_id"]: (r["n"], r["silhouette"]) for r in S.silhouette_by_cluster(df, ["a", "b"]).collect()}
+    assert set(got) == set(labels)
+    for c, (n, value) in got.items():
+        assert n == (labels == c).sum() and abs(value - want[labels == c].mean()) < 1e-9
 
 
 @pytest.mark.parametrize("rows, want", [

@@ -98,6 +98,22 @@ def test_stream_equals_batch(spark, many):
     assert {tuple(r) for r in sessions.collect()} == want
 
 
+def test_merged_batches_equal_batch(spark, many):
+    """Several micro-batches in arbitrary order, a repeated one, and events far behind the latest."""
+    rows, df = many
+    folder, out, progress = (new_path(spark, n) for n in ("events", "merged", "merged-progress"))
+    df.repartition(4).write.parquet(folder)
+    stream = T.read_events(spark, folder, per_trigger=1)
+    T.start_partial_sink(stream, out, progress).awaitTermination()
+    T.start_partial_sink(stream, out, new_path(spark, "again")).awaitTermination()
+    want = {(r["user_id"], r["day"]): (r["events"], r["trailing"]) for r in B.rolling_activity(df, "user_id", "ts").collect()}
+    assert {(r["user_id"], r["day"]): r["events"] for r in T.merged_days(spark, out).collect()} == {k: v[0] for k, v in want.items()}
+    weeks = {(r["user_id"], r["last_day"]): r["trailing"] for r in T.merged_weeks(spark, out).collect()}
+    assert all(weeks[k] == v[1] for k, v in want.items())
+    found = {(r["user_id"], r["session_start"], r["session_end"], r["events"]) for r in T.merged_sessions(spark, out).collect()}
+    assert found == {(r["user_id"], r["session_start"], r["session_end"], r["events"]) for r in B.sessionize(df, "user_id", "ts", 30).collect()}
+
+
 def test_late_rows_are_dropped_and_counted(spark):
     folder = new_path(spark, "late")
     day = lambda d: START + dt.timedelta(days=d)
