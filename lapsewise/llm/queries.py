@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise.llm import bpe, knn_quality, licenses, line_dedup, minhash, packing, sharding, topk, url_model, weak_rules
+from lapsewise.llm.license_texts import DECLARATIONS, SPELLINGS, TEXTS
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 QUERIES, SQL = {}, {}
@@ -129,11 +130,86 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
 
 
-@query("op8_license_digests")
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+OP8_SQL = f"""
+WITH known AS (SELECT unnest([{", ".join(f"{{'id': {_text(i)}, 'text': {_text(t)}}}" for i, t in [*TEXTS.items(), *((i, t) for t, i in DECLARATIONS.items())])}], recursive := true)),
+source AS (SELECT NULL AS license_id, doc_id, text, row_number() OVER () AS n FROM documents
+           UNION ALL SELECT id, NULL, text, -row_number() OVER () FROM known),
+lines AS (
+  SELECT n, unnest(string_split(lower(coalesce(text, '')), chr(10))) AS line,
+         generate_subscripts(string_split(lower(coalesce(text, '')), chr(10)), 1) AS i FROM source),
+forms AS (
+  SELECT n, i, array_to_string(list_transform(string_split(trim(regexp_replace(line, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' '),
+                               lambda w: coalesce(MAP {{{", ".join(f"{_text(a)}: {_text(b)}" for a, b in SPELLINGS.items())}}}[w], w)), ' ') AS form
+  FROM lines WHERE NOT regexp_matches(line, {_text(licenses.COPYRIGHT)})),
+texts AS (
+  SELECT s.n, license_id, doc_id, sha256(coalesce(string_agg(form, ' ' ORDER BY i) FILTER (WHERE form <> ''), '')) AS digest
+  FROM source s LEFT JOIN forms f ON s.n = f.n GROUP BY ALL),
+found AS (
+  SELECT n, string_agg(DISTINCT license_id, ' ' ORDER BY license_id) AS ids FROM (
+    SELECT f.n, t.license_id FROM forms f JOIN texts t ON t.n < 0 AND t.digest = sha256(f.form) WHERE f.n > 0 AND f.form <> '') GROUP BY n)
+SELECT d.doc_id, d.digest, t.license_id, coalesce(ids, '') AS line_licenses
+FROM texts d LEFT JOIN texts t ON t.n < 0 AND t.digest = d.digest LEFT JOIN found ON found.n = d.n WHERE d.n > 0
+"""
+
+
+@query("op8_license_digests", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents", "doc_id", "text"), licenses.known(spark))
 
 
-@query("op9_url_markov_ratio")
+def _level(k: int) -> str:
+    shorter = [f"b.p{c}" if k > 1 else "1e0 / 256" for c in "10"]
+    probs = ", ".join(f"(n{c} + {url_model.SMOOTH} * {p}) / (c{c} + {url_model.SMOOTH}) AS p{c}" for c, p in zip("10", shorter))
+    join = f"JOIN w{k - 1} b ON substr(a.g, 2) = b.g" if k > 1 else ""
+    return f"w{k} AS (SELECT a.g, {probs} FROM kept a {join} WHERE a.k = {k})"
+
+
+_RULED = sorted(url_model.RULES, key=lambda r: -len(r[1] + r[2]))
+_FITS = [(v, h + p, f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')") for v, h, p in _RULED]
+_ORDER = url_model.ORDER
+OP9_SQL = f"""
+WITH loc AS (
+  SELECT page_id, row_number() OVER () AS n, coalesce(url, '') AS url,
+         CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+hp AS (
+  SELECT page_id, n, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(regexp_extract(rest, '^([^/?#]*)', 1)) + 1), '^([^?#]*)', 1) AS path FROM loc),
+r AS (
+  SELECT *, CASE {" ".join(f"WHEN {f} THEN '{rule}'" for _, rule, f in _FITS)} END AS rule,
+         CASE {" ".join(f"WHEN {f} THEN '{v}'" for v, _, f in _FITS)} END AS ruled,
+         substr(md5(url), 1, 1) IN ({", ".join(f"'{c}'" for c in url_model.CALIBRATION)}) AS held,
+         list_concat(list_concat([{", ".join(["chr(2)"] * (_ORDER - 1))}], CASE WHEN url = '' THEN [] ELSE string_split(url, '') END), [chr(3)]) AS c FROM hp),
+ends AS (SELECT n, c, ruled, held, unnest(range({_ORDER}, len(c) + 1)) AS i FROM r),
+grams AS (SELECT n, i, k, ruled, held, array_to_string(list_slice(c, i - k + 1, i), '') AS g FROM ends, range(1, {_ORDER + 1}) t(k)),
+counts AS (
+  SELECT g, k, count(*) FILTER (WHERE ruled = 'allow') AS n1, count(*) FILTER (WHERE ruled = 'block') AS n0
+  FROM grams WHERE ruled IS NOT NULL AND NOT held GROUP BY g, k),
+around AS (SELECT *, sum(n1) OVER x AS c1, sum(n0) OVER x AS c0 FROM counts WINDOW x AS (PARTITION BY k, substr(g, 1, k - 1))),
+kept AS (
+  SELECT * FROM around
+  WHERE n1 + n0 >= (SELECT greatest(2, ceil(coalesce(sum(n1 + n0), 0) / {url_model.KEPT}.0)) FROM counts WHERE k = 1)),
+{", ".join(_level(k) for k in range(1, _ORDER + 1))},
+weights AS ({" UNION ALL ".join(f"SELECT g, ln(p1) - ln(p0) AS w FROM w{k}" for k in range(1, _ORDER + 1))}),
+best AS (SELECT n, i, coalesce(arg_max(w, k) FILTER (WHERE w IS NOT NULL), 0) AS w FROM grams LEFT JOIN weights USING (g) GROUP BY n, i),
+steps AS (
+  SELECT n, CAST(greatest(least(floor(round(sum(w) / count(*), 9) * {url_model.STEPS}), {url_model.RANGE}), -{url_model.RANGE}) AS BIGINT) AS step FROM best GROUP BY n),
+known AS (
+  SELECT step, count(*) FILTER (WHERE ruled = 'allow') AS n1, count(*) FILTER (WHERE ruled = 'block') AS n0
+  FROM r JOIN steps USING (n) WHERE ruled IS NOT NULL AND held GROUP BY step),
+cuts AS (
+  SELECT step, sum(n1) OVER (ORDER BY step DESC) / sum(n1) OVER () + (sum(n0) OVER () - sum(n0) OVER (ORDER BY step DESC)) / sum(n0) OVER () AS right_,
+         sum(n1) OVER () AS all1, sum(n0) OVER () AS all0 FROM known),
+cut AS (SELECT step FROM cuts WHERE all1 > 0 AND all0 > 0 ORDER BY round(right_, 9) DESC, step LIMIT 1)
+SELECT page_id, host, path, rule,
+       coalesce(ruled, CASE WHEN (SELECT count(*) FROM cut) = 0 OR step >= (SELECT step FROM cut) THEN 'allow' ELSE 'block' END) AS verdict, step
+FROM r JOIN steps USING (n)
+"""
+
+
+@query("op9_url_markov_ratio", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_model.judged(table(spark, sf_dir, "pages", "page_id", "url"))
