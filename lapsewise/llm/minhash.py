@@ -9,10 +9,12 @@ candidate buckets; of each minimum the lowest bits are kept, packed into a short
 counts over two signatures estimate their similarity, corrected for equal bits by chance. Candidates
 whose estimate is far below the threshold are dropped; every other one is confirmed on the full sets.
 
-Buckets are never turned into all their pairs. First each member is compared with the bucket's
-smallest documents. Confirmed links are joined to components, and members that already share a
-component need no further comparison; the rest are compared across components, in blocks, the
-members outside a bucket's largest component against all others.
+Buckets are never turned into all their pairs. First each document is compared with the smallest
+one of its buckets. Confirmed links are joined to components, and members that already share a
+component need no further comparison. What is left are candidates across components, often many
+edited copies of one text just below the threshold. They are gathered by the largest component
+near them and compared on their full sets in blocks of bounded size, the documents outside that
+component against all others; a block returns no more links than join its documents.
 
 Rows without words, or without text, have an empty set and are linked with nothing. Rows with one
 doc_id count as one document with the links of all of them. A row without doc_id can't be referred
@@ -44,10 +46,10 @@ BITS = 2
 PACKED = [f"s{i}" for i in range(MINIMA * BITS // 64)]
 #: Candidates estimated below this are dropped: five standard deviations under the threshold.
 ESTIMATE = 0.61
-#: Members of a bucket that are compared with each other in one group.
-BLOCK = 256
-#: Best candidates of each document that are confirmed first, and then after a first round.
-FIRST, THEN = 3, 12
+#: Documents on either side of a block, and their shingles together.
+BLOCK, BLOCK_SHINGLES = 64, 1_000_000
+#: Best candidates of each document that are confirmed first.
+FIRST = 3
 #: Bytes of texts handled at once.
 TOGETHER = 1_000_000
 
@@ -177,6 +179,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(common * 100 >= union * PERCENT).select("a", "b").distinct()
 
 
+def few(df: DataFrame, name: str) -> DataFrame:
+    """Links, written by fewer tasks than a shuffle of documents has: their rows are short."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialise(df.coalesce(max(1, parts // 8)), name)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """The smallest member reachable from each node of the edges (a, b): columns node and label.
 
@@ -191,14 +199,14 @@ def components(edges: DataFrame) -> DataFrame:
         return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
     flipped = lambda df: df.unionByName(df.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    now = materialise(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    now = few(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "edges")
     before = None
     while (seen := state(now)) != before:
         before = seen
-        large = linked(flipped(now), "b > a").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        large = linked(flipped(now), "b > a").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        now = materialise(small.union(low).distinct(), "edges")
+        now = few(small.union(low).distinct(), "edges")
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     )
@@ -217,73 +225,150 @@ def find_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     shared = bands.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
     members = materialise(bands.join(shared.select("band", "first"), "band"), "members")
 
-    def with_sketch(pairs):
-        wide = pairs.join(renamed(nodes, "a", *stored), F.col("a") == F.col("anode"))
-        return wide.join(renamed(nodes, "b", *stored), F.col("b") == F.col("bnode"))
-
     stars = members.where("node > first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    stars = with_sketch(stars).where(near("a", "b")).select("a", "b", estimate("a", "b").alias("similar"))
-    pairs = materialise(best(stars, FIRST), "pairs")
-    sets = materialise(sets_of(docs, pairs), "sets")
-    links = materialise(confirmed(pairs, sets), "links")
-    labels = components(links)
-
-    pairs = materialise(across(members, nodes, labels), "pairs")
-    more = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    more = more.join(sets, "node", "left_anti").select(F.col("node").alias("a"), F.col("node").alias("b"))
-    sets = sets.union(materialise(sets_of(docs, more), "sets"))
-    for chosen in (lambda left: best(left, THEN), lambda left: left):
-        label = lambda side: renamed(labels, side, "node", "label")
-        left = pairs.join(label("a"), F.col("a") == F.col("anode"), "left").join(label("b"), F.col("b") == F.col("bnode"), "left")
-        left = left.where(F.coalesce("alabel", "a") != F.coalesce("blabel", "b")).select("a", "b", "similar")
-        left = materialise(chosen(left), "pairs")
-        if left.isEmpty():
-            break
-        links = links.union(materialise(confirmed(left, sets), "links"))
-        labels = components(links)
-    return labels
-
-
-def sets_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    stars = stars.join(renamed(nodes, "a", *stored), F.col("a") == F.col("anode"))
+    stars = stars.join(renamed(nodes, "b", *stored), F.col("b") == F.col("bnode"))
+    stars = stars.where(near("a", "b")).select("a", "b", estimate("a", "b").alias("similar"))
+    pairs = few(best(stars, FIRST).select("a", "b"), "pairs")
+    sets = materialise(sets_of(docs, ids_of(pairs)), "sets")
+    labels = components(confirmed(pairs, sets))
+
+    rows = mixed_buckets(members, nodes, labels)
+    open_ = few(still_open(rows), "open")
+    if open_.isEmpty():
+        return labels
+    sets = sets.union(materialise(sets_of(docs, open_.join(sets, "node", "left_anti").withColumnRenamed("node", "doc_id")), "sets"))
+    rows = gathered_by_main(rows.join(open_, "node"))
+    links = few(within_gathered(rows, sets), "links").union(few(confirmed(few(across(rows), "pairs"), sets), "links"))
+    if links.isEmpty():
+        return labels
+    return components(links.union(labels.select(F.col("label").alias("a"), F.col("node").alias("b"))))
+
+
+def ids_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The full sets of the wanted doc_ids, by one plan at every size."""
+    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
     return texts.mapInArrow(full_sets, "node long, shingles array<long>")
 
 
-def across(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Candidates between different components of one bucket.
-
-    A bucket's members outside its largest component are compared with all others. Both sides are
-    cut into blocks of bounded size, so a large bucket is many small groups.
-    """
+def mixed_buckets(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with sketches, of buckets that hold several components; main is a bucket's largest one."""
     known = members.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
     sizes = known.groupBy("band", "label").agg(F.count("*").alias("m"))
-    mixed_ = sizes.groupBy("band").agg(
+    several = blocked(sizes.groupBy("band").agg(
         F.max(F.struct("m", "label")).alias("main"), F.sum("m").alias("all"), F.count("*").alias("labels")
-    ).where("labels > 1")
-    mixed_ = mixed_.select(
-        "band", F.col("main.label").alias("main"),
-        F.ceil((F.col("all") - F.col("main.m")) / BLOCK).cast("int").alias("i_blocks"),
-        F.ceil(F.col("all") / BLOCK).cast("int").alias("j_blocks"),
-    )
-    rows = known.join(mixed_, "band").join(nodes.select("node", "n", *PACKED), "node")
-    rows = materialise(rows, "members")
+    ).where("labels > 1"), F.col("all") - F.col("main.m"), F.col("all"))
+    several = several.select("band", F.col("main.label").alias("main"), "i_blocks", "j_blocks")
+    return materialise(known.join(several, "band").join(nodes.select("node", "n", *PACKED), "node"), "mixed")
+
+
+def blocked(df: DataFrame, outside: Column, everyone: Column, block: int = 4 * BLOCK) -> DataFrame:
+    return df.withColumn("i_blocks", F.ceil(outside / block).cast("int")).withColumn("j_blocks", F.ceil(everyone / block).cast("int"))
+
+
+def dealt(rows: DataFrame, kept: list[str], *group: str) -> tuple[DataFrame, DataFrame]:
+    """The members outside their group's main component, and all members, dealt to the group's blocks i, j."""
     block = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "node"), F.col(n)).cast("int")
-    kept = ["node", "label", "n", *PACKED]
     outside = rows.where("label <> main").select(
-        "band", block(1, "i_blocks").alias("i"), F.explode(F.sequence(F.lit(0), F.col("j_blocks") - 1)).alias("j"),
+        *group, block(1, "i_blocks").alias("i"), F.explode(F.sequence(F.lit(0), F.col("j_blocks") - 1)).alias("j"),
         *(F.col(c).alias("x" + c) for c in kept),
     )
     everyone = rows.select(
-        "band", F.explode(F.sequence(F.lit(0), F.col("i_blocks") - 1)).alias("i"), block(2, "j_blocks").alias("j"),
-        (F.col("label") == F.col("main")).alias("main"), *(F.col(c).alias("y" + c) for c in kept),
+        *group, F.explode(F.sequence(F.lit(0), F.col("i_blocks") - 1)).alias("i"), block(2, "j_blocks").alias("j"),
+        (F.col("label") == F.col("main")).alias("in_main"), *(F.col(c).alias("y" + c) for c in kept),
     )
-    once = (F.col("xlabel") != F.col("ylabel")) & (F.col("main") | (F.col("xnode") < F.col("ynode")))
-    same = [outside[c] == everyone[c] for c in ("band", "i", "j")]
-    found = outside.join(everyone, [*same, once, near("x", "y")])
-    return found.select(
-        F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b"), estimate("x", "y").alias("similar")
-    ).distinct()
+    return outside, everyone
+
+
+def opposed(rows: DataFrame, *more: str) -> tuple[DataFrame, DataFrame, list]:
+    """Both sides of each bucket, and when two of them are a candidate."""
+    outside, everyone = dealt(rows, ["node", "label", "n", *PACKED, *more], "band")
+    once = (F.col("xlabel") != F.col("ylabel")) & (F.col("in_main") | (F.col("xnode") < F.col("ynode")))
+    return outside, everyone, [*(outside[c] == everyone[c] for c in ("band", "i", "j")), once, near("x", "y")]
+
+
+def still_open(rows: DataFrame) -> DataFrame:
+    """The nodes that have a candidate in another component."""
+    outside, everyone, candidate = opposed(rows)
+    x = outside.join(everyone, candidate, "left_semi").select(F.col("xnode").alias("node"))
+    y = everyone.join(outside, candidate, "left_semi").select(F.col("ynode").alias("node"))
+    return x.union(y).distinct()
+
+
+def gathered_by_main(rows: DataFrame) -> DataFrame:
+    """The rows with ``near``: the smallest main component among the buckets of their node."""
+    nearest = few(rows.groupBy("node").agg(F.min("main").alias("near")), "nearest")
+    return rows.join(nearest, "node")
+
+
+def across(rows: DataFrame) -> DataFrame:
+    """Candidates (a, b) of one bucket that aren't gathered around one component."""
+    outside, everyone, candidate = opposed(rows, "near")
+    found = outside.join(everyone, [*candidate, F.col("xnear") != F.col("ynear")])
+    return found.select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b")).distinct()
+
+
+def within_gathered(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between the components that are gathered around one, on the full sets."""
+    rows = rows.select("near", "node", "label", "n").distinct()
+    sizes = rows.groupBy("near", "label").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    sizes = sizes.groupBy("near").agg(
+        F.max(F.struct("m", "label", "n")).alias("main"), F.sum("m").alias("m"), F.sum("n").alias("n"), F.count("*").alias("labels")
+    ).where("labels > 1")
+    units = lambda m, n: F.greatest(m.cast("double"), n * (BLOCK / BLOCK_SHINGLES))
+    sizes = blocked(sizes, units(F.col("m") - F.col("main.m"), F.col("n") - F.col("main.n")), units(F.col("m"), F.col("n")), BLOCK)
+    sizes = sizes.select("near", F.col("main.label").alias("main"), "i_blocks", "j_blocks")
+    rows = rows.join(sizes, "near").join(sets, "node")
+    outside, everyone = dealt(rows, ["node", "label", "shingles"], "near")
+    both = outside.select("near", "i", "j", F.lit(True).alias("x"), *(F.col("x" + c).alias(c) for c in ("node", "label", "shingles")))
+    both = both.union(everyone.select("near", "i", "j", F.lit(False), "ynode", "ylabel", "yshingles"))
+    return both.groupBy("near", "i", "j").applyInArrow(block_links, "a long, b long")
+
+
+def block_links(block):
+    """Links of one block between documents of different components, as few as join them."""
+    side = np.asarray(block.column("x").combine_chunks())
+    node, label = (np.asarray(block.column(c).combine_chunks()) for c in ("node", "label"))
+    lists = block.column("shingles").combine_chunks()
+    size = np.diff(np.asarray(lists.offsets))
+    _, shingle = np.unique(np.asarray(lists.flatten()), return_inverse=True)
+    owner = np.repeat(np.arange(len(node)), size)
+    xs, ys = np.flatnonzero(side), np.flatnonzero(~side)
+    row = np.empty(len(node), np.int64)
+    row[xs], row[ys] = np.arange(len(xs)), np.arange(len(ys))
+    common = np.zeros((len(xs), len(ys)), np.float32)
+    order = np.argsort(shingle, kind="stable")
+    shingle, owner = shingle[order], owner[order]
+    step = 1 << 16
+    for first in range(0, int(shingle[-1]) + 1 if len(shingle) else 0, step):
+        part = slice(*np.searchsorted(shingle, [first, first + step]))
+        held, term = owner[part], shingle[part] - first
+        has = []
+        for chosen, n in ((side[held], len(xs)), (~side[held], len(ys))):
+            table = np.zeros((n, step), np.float32)
+            table[row[held[chosen]], term[chosen]] = 1
+            has.append(table)
+        common += has[0] @ has[1].T
+    union = size[xs][:, None] + size[ys][None, :] - common
+    x, y = np.nonzero((common * 100 >= union * PERCENT) & (label[xs][:, None] != label[ys][None, :]))
+    parent = {}
+
+    def root(v):
+        while parent.setdefault(v, v) != v:
+            v = parent[v]
+        return v
+
+    out = []
+    for i, j in zip(xs[x].tolist(), ys[y].tolist()):
+        a, b = root(int(label[i])), root(int(label[j]))
+        if a != b:
+            parent[a] = b
+            out.append((int(node[i]), int(node[j])))
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -292,19 +377,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = materialise(docs.select("doc_id", "text").mapInArrow(sketched, schema), "sketches")
     linked = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     key = ["key_a", "key_b", "n_shingles"]
-    classes = linked.groupBy(*key).agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("last")).where("last > node").drop("last")
-    classes = materialise(classes, "classes")
-    # a row that isn't the smallest of its class is represented by that one
-    others = linked.select("doc_id", *key).join(classes, key).where("doc_id > node").select("doc_id", "node").distinct()
-    others = materialise(others, "others")
-    nodes = linked.join(classes.withColumnRenamed("node", "_first"), key, "left").where("_first IS NULL OR _first = doc_id")
+    classes = linked.groupBy(*key).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").drop("last")
+    classes = few(classes, "classes")
+    # a class is represented by its smallest document
+    nodes = linked.join(classes, key, "left").where("first IS NULL OR first = doc_id")
     nodes = materialise(nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bands", *PACKED), "nodes")
     labels = find_links(docs, nodes)
-    # equal sets are links as well; a doc_id with several texts may carry both kinds
-    everything = materialise(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(others), "links")
-    final = components(everything)
-    placed = rows.select("doc_id", "n_shingles").join(final, F.col("doc_id") == F.col("node"), "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
+
+    several = linked.groupBy("doc_id").agg(*(f(c).alias(f"{c} {f.__name__}") for c in key for f in (F.min, F.max)))
+    several = several.where(" OR ".join(f"`{c} min` <> `{c} max`" for c in key))
+    if not few(several.select("doc_id"), "several").isEmpty():
+        # a doc_id with several texts joins their classes
+        same = linked.join(classes, key).where("doc_id > first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+        labels = components(labels.select(F.col("label").alias("a"), F.col("node").alias("b")).union(same))
+    own = labels.withColumnRenamed("label", "own")
+    shared = classes.join(labels, F.col("first") == F.col("node"), "left").select(*key, F.coalesce("label", "first").alias("shared"))
+    placed = rows.select("doc_id", *key).join(shared, key, "left").join(own, F.col("doc_id") == F.col("node"), "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("shared", "own", "doc_id")))
     return placed.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")
     )

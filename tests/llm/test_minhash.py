@@ -31,6 +31,7 @@ def edited(rng, words, n):
 def test_group_of_near_copies_in_blocks(spark, monkeypatch):
     """A group whose similarities lie on both sides of the threshold, with blocks of a few members."""
     monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 4000)
     rng = random.Random(5)
     base = [f"w{i}" for i in range(120)]
     documents = [(i, edited(rng, base, rng.randrange(1, 7))) for i in range(150)]
