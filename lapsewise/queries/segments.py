@@ -12,7 +12,7 @@ from lapsewise.functions.numeric import round_even
 from lapsewise.operators import aggregates as A
 from lapsewise.operators import segment as S
 from lapsewise.operators.joins import with_constant_map, with_lookup
-from lapsewise.queries.base import FEATURED, featured, query, r, rounded, with_
+from lapsewise.queries.base import FEATURED, featured, query, r, rounded, winsorised, with_
 from lapsewise.sources.tables import read_table
 from lapsewise.sources.workspace import materialise
 
@@ -41,6 +41,14 @@ def segmented(spark, sf_dir):
     return rule_segments(featured(spark, sf_dir))
 
 
+_RULE_COLUMNS = ["player_id", "total_spend_usd", "last_login_days_ago", "session_count"]
+
+
+def segmented_only(spark, sf_dir, *more):
+    """Segments and the named columns: nothing is ranked, and only the feeders of these columns are read."""
+    return rule_segments(winsorised(spark, sf_dir, [*_RULE_COLUMNS, *more]))
+
+
 def strategy_case(column: str) -> str:
     def quoted(text):
         return "'" + text.replace("'", "''") + "'"
@@ -51,7 +59,7 @@ def strategy_case(column: str) -> str:
 
 @query("segment_counts", with_(SEGMENTED, "SELECT segment, count(*) AS players FROM s GROUP BY 1"))
 def segment_counts(spark, sf_dir):
-    return A.segment_counts(segmented(spark, sf_dir))
+    return A.segment_counts(segmented_only(spark, sf_dir))
 
 
 _PROFILE_CELLS = ", ".join(
@@ -74,7 +82,7 @@ def segment_profile(spark, sf_dir):
       {r("avg(CAST(churn_label AS DOUBLE)) * 1e2", 1)} AS churn_pct FROM s GROUP BY 1"""),
 )
 def churn_by_segment(spark, sf_dir):
-    return rounded(A.churn_by_segment(segmented(spark, sf_dir)), 6, "churn_rate")
+    return rounded(A.churn_by_segment(segmented_only(spark, sf_dir, "churn_label")), 6, "churn_rate")
 
 
 @query(
@@ -85,7 +93,7 @@ def churn_by_segment(spark, sf_dir):
       FROM (VALUES ('Champions'), ('Whales'), ('Casual'), ('At-Risk')) d(segment) LEFT JOIN s ON s.segment = d.segment GROUP BY 1"""),
 )
 def segment_cards(spark, sf_dir):
-    return A.segment_cards(segmented(spark, sf_dir))
+    return A.segment_cards(segmented_only(spark, sf_dir, "churn_label"))
 
 
 _RADAR = " UNION ALL ".join(
@@ -102,7 +110,7 @@ def segment_radar(spark, sf_dir):
 
 @query("segment_strategy_lookup", with_(SEGMENTED, f"SELECT player_id, segment, {strategy_case('segment')} AS strategy FROM s"))
 def segment_strategy_lookup(spark, sf_dir):
-    df = segmented(spark, sf_dir).select("player_id", "segment")
+    df = segmented_only(spark, sf_dir).select("player_id", "segment")
     return with_constant_map(df, "segment", K.RETENTION_STRATEGIES, "strategy")
 
 
@@ -126,7 +134,7 @@ def _centroids(df):
 
 @query("cluster_names", with_(f"{SEGMENTED},\n{_CENTROIDS}", "SELECT cluster_id, segment FROM nm"))
 def cluster_names(spark, sf_dir):
-    return S.name_clusters(_centroids(segmented(spark, sf_dir)))
+    return S.name_clusters(_centroids(segmented_only(spark, sf_dir)))
 
 
 @query(
@@ -134,7 +142,7 @@ def cluster_names(spark, sf_dir):
     with_(f"{SEGMENTED},\n{_CENTROIDS}", "SELECT s.player_id AS player_id, nm.segment AS segment FROM s JOIN nm ON nm.cluster_id = s.cluster_id"),
 )
 def cluster_name_lookup(spark, sf_dir):
-    df = materialise(segmented(spark, sf_dir), "segmented")
+    df = materialise(segmented_only(spark, sf_dir), "segmented")
     return with_lookup(df.select("player_id", "cluster_id"), S.name_clusters(_centroids(df)), "cluster_id").select("player_id", "segment")
 
 
@@ -185,7 +193,7 @@ def cluster_matrix(spark, sf_dir):
       WHEN segment IN ('Champions', 'Whales') THEN 'Tier 3 (monthly)' ELSE 'None' END AS intervention FROM s"""),
 )
 def intervention_tiers(spark, sf_dir):
-    return segmented(spark, sf_dir).select("player_id", "segment", intervention_tier().alias("intervention"))
+    return segmented_only(spark, sf_dir, "consecutive_losses").select("player_id", "segment", intervention_tier().alias("intervention"))
 
 
 # ---- fitted clustering ------------------------------------------------------------------------

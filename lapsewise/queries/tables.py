@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from lapsewise import constants as K
+from lapsewise.functions.features import monetisation_tier
 from lapsewise.functions.labels import churn_label
 from lapsewise.functions.numeric import round_even
 from lapsewise.operators import profile as P
@@ -13,16 +14,16 @@ from lapsewise.operators.split import hash_split, split_audit
 from lapsewise.queries.base import (
     FEATURED,
     PLAYERS,
-    enriched,
     feature_sql,
     featured,
     players,
     query,
     r,
     rounded,
+    winsorised,
     with_,
 )
-from lapsewise.queries.segments import RULE_SQL, rule_segments
+from lapsewise.queries.segments import RULE_SQL, segmented_only
 from lapsewise.sources import sinks
 from lapsewise.sources.tables import load_json_records, load_players, load_splits, read_table
 from lapsewise.sources.workspace import new_path
@@ -174,7 +175,7 @@ def json_records_round_trip(spark, sf_dir):
       churn_label FROM s WHERE segment = 'At-Risk'"""),
 )
 def export_segment_view(spark, sf_dir):
-    df = rule_segments(featured(spark, sf_dir))
+    df = segmented_only(spark, sf_dir, "win_rate", "churn_label")
     path = sinks.export_view(df, new_path(spark, "export"), "At-Risk")
     return spark.read.schema(
         "player_id string, segment string, session_count double, last_login_days_ago double, total_spend_usd double, "
@@ -188,7 +189,9 @@ def export_segment_view(spark, sf_dir):
       WHERE game_mode_primary IN ('PvP', 'Solo') AND churn_label = 0 AND monetisation_tier IN (1, 2)"""),
 )
 def board_filter_query(spark, sf_dir):
-    shown = board_filter(engineer_features(enriched(spark, sf_dir)), ["PvP", "Solo"], ["Active"], ["Minnow", "Dolphin"])
+    # tier and mode don't depend on ranks; the filter on mode and label reaches the stored players
+    df = winsorised(spark, sf_dir, ["player_id", "game_mode_primary", "churn_label", "total_spend_usd"])
+    shown = board_filter(df.withColumn("monetisation_tier", monetisation_tier()), ["PvP", "Solo"], ["Active"], ["Minnow", "Dolphin"])
     return shown.select("player_id", "game_mode_primary", "churn_label", "monetisation_tier")
 
 
