@@ -1,5 +1,7 @@
 """K-Means segments: fit, quality, naming, projection."""
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -10,19 +12,66 @@ from pyspark.sql import functions as F
 
 from lapsewise import constants as K
 from lapsewise.functions.numeric import num
-from lapsewise.operators.clean import assemble, fill_constants, fit_median, standard_scale
-from lapsewise.operators.joins import with_lookup, with_overall
+from lapsewise.operators.clean import assemble, fill_constants, fit_median, fit_scale, scaled
+from lapsewise.operators.joins import with_constant_map, with_overall
 from lapsewise.operators.ranks import seeded_sample
 from lapsewise.sources.tables import available
 from lapsewise.sources.workspace import materialise
 
 
+@dataclass
+class Segmenter:
+    """What assigning players needs: the statistics of the fit, the model, and a name for each cluster."""
+
+    features: list[str]
+    medians: dict[str, float]
+    scales: dict[str, tuple[float, float]]
+    model: KMeansModel | None = None
+    names: dict[int, str] | None = None
+
+    @classmethod
+    def statistics(cls, df: DataFrame, columns: list[str] = K.CLUSTER_FEATURES) -> "Segmenter":
+        """Medians, means and deviations of the columns that the table has; absent ones are skipped."""
+        have = available(df, list(columns))
+        rows = df.select(*[num(c).alias(c) for c in have])
+        medians = {c: v for c, v in fit_median(rows, have).items() if v is not None}
+        return cls(have, medians, fit_scale(fill_constants(rows, medians), have))
+
+    def matrix(self, df: DataFrame, keep: list[str] = (K.ID,)) -> DataFrame:
+        """Imputed and scaled columns, by the statistics of the fit."""
+        rows = fill_constants(df.select(*keep, *[num(c).alias(c) for c in self.features]), self.medians)
+        return rows.select(*keep, *[scaled(c, *self.scales[c]).alias(c) if c in self.scales else F.col(c) for c in self.features])
+
+    def segments(self, df: DataFrame, key: str = K.ID) -> DataFrame:
+        """(key, cluster_id, segment) of any players, also of ones that the fit hasn't seen."""
+        assigned = assign(self.matrix(df, [key]), self.features, self.model).select(key, "cluster_id")
+        return with_constant_map(assigned, "cluster_id", self.names, "segment")
+
+    def save(self, spark, path: str) -> str:
+        self.model.write().overwrite().save(f"{path}/model")
+        rows = [(i, c, self.medians.get(c), *self.scales.get(c, (None, None))) for i, c in enumerate(self.features)]
+        spark.createDataFrame(rows, "place int, feature string, median double, mean double, deviation double").coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(f"{path}/statistics")
+        spark.createDataFrame(sorted(self.names.items()), "cluster_id int, segment string").coalesce(1).write.mode("overwrite").parquet(f"{path}/names")
+        return path
+
+    @classmethod
+    def load(cls, spark, path: str) -> "Segmenter":
+        rows = spark.read.parquet(f"{path}/statistics").orderBy("place").collect()
+        return cls(
+            [r["feature"] for r in rows],
+            {r["feature"]: r["median"] for r in rows if r["median"] is not None},
+            {r["feature"]: (r["mean"], r["deviation"]) for r in rows if r["mean"] is not None},
+            KMeansModel.load(f"{path}/model"),
+            {r["cluster_id"]: r["segment"] for r in spark.read.parquet(f"{path}/names").collect()},
+        )
+
+
 def cluster_matrix(df: DataFrame, columns: list[str] = K.CLUSTER_FEATURES, keep: list[str] = (K.ID,)) -> tuple[DataFrame, list[str]]:
     """Median-imputed, scaled columns that the table has; absent ones are skipped."""
-    have = available(df, list(columns))
-    rows = df.select(*keep, *[num(c).alias(c) for c in have])
-    medians = {c: v for c, v in fit_median(rows, have).items() if v is not None}
-    return standard_scale(fill_constants(rows, medians), have), have
+    fitted = Segmenter.statistics(df, columns)
+    return fitted.matrix(df, list(keep)), fitted.features
 
 
 def fit_kmeans(
@@ -80,20 +129,22 @@ def name_clusters(centroids: DataFrame) -> DataFrame:
     )
 
 
-def with_segments(df: DataFrame, assigned: DataFrame, names: DataFrame, key: str = K.ID) -> DataFrame:
-    """Players with cluster_id and segment."""
-    return with_lookup(df.join(assigned.select(key, "cluster_id"), key), names, "cluster_id")
+def fit_segmenter(df: DataFrame, k: int = 4, restarts: int = 20, max_iter: int = 500, seed: int = 42) -> Segmenter:
+    """Statistics, clusters and their names; k names reach the driver."""
+    fitted = Segmenter.statistics(df)
+    matrix = materialise(fitted.matrix(df), "clusters")
+    fitted.model = fit_kmeans(matrix, fitted.features, k, restarts, max_iter, seed)
+    names = name_clusters(centroid_table(fitted.model, df.sparkSession, fitted.features))
+    fitted.names = {r["cluster_id"]: r["segment"] for r in names.collect()}
+    return fitted
 
 
 def segment_players(
     df: DataFrame, k: int = 4, restarts: int = 20, max_iter: int = 500, seed: int = 42
 ) -> tuple[DataFrame, KMeansModel, list[str]]:
     """The whole step: matrix, fit, assignment, names."""
-    matrix, features = cluster_matrix(df)
-    matrix = materialise(matrix, "clusters")
-    model = fit_kmeans(matrix, features, k, restarts, max_iter, seed)
-    names = materialise(name_clusters(centroid_table(model, df.sparkSession, features)), "names")
-    return with_segments(df, assign(matrix, features, model), names), model, features
+    fitted = fit_segmenter(df, k, restarts, max_iter, seed)
+    return df.join(fitted.segments(df), K.ID), fitted.model, fitted.features
 
 
 def scan_k(

@@ -14,7 +14,7 @@ from lapsewise.operators import segment as S
 from lapsewise.operators.joins import with_constant_map, with_lookup
 from lapsewise.queries.base import FEATURED, featured, query, r, rounded, winsorised, with_
 from lapsewise.sources.tables import read_table
-from lapsewise.sources.workspace import materialise
+from lapsewise.sources.workspace import materialise, new_path
 
 RULE_SQL = """s AS (SELECT *, CASE WHEN total_spend_usd > 80 THEN 'Whales' WHEN last_login_days_ago > 300 THEN 'At-Risk'
     WHEN session_count >= 10 THEN 'Champions' ELSE 'Casual' END AS segment,
@@ -210,6 +210,16 @@ def kmeans_segment_profile(spark, sf_dir):
     return A.segment_profile(materialise(df, "segmented"))
 
 
+@query("segmenter_round_trip", with_(FEATURED, "SELECT count(*) AS players, count(*) AS same, 4::BIGINT AS segments FROM f"))
+def segmenter_round_trip(spark, sf_dir):
+    """A stored segmenter gives every player the segment that the fitted one gives."""
+    df = materialise(featured(spark, sf_dir), "featured")
+    fitted = S.fit_segmenter(df, restarts=1, max_iter=100)
+    loaded = S.Segmenter.load(spark, fitted.save(spark, new_path(spark, "segmenter")))
+    both = fitted.segments(df).join(loaded.segments(df).withColumnRenamed("segment", "again"), ["player_id", "cluster_id"])
+    return both.agg(F.count("*").alias("players"), F.count_if(F.col("segment") == F.col("again")).alias("same"), F.countDistinct("segment").alias("segments"))
+
+
 @query("kmeans_scan")
 def kmeans_scan(spark, sf_dir):
     _, matrix, features = _matrix(spark, sf_dir)

@@ -10,6 +10,7 @@ from lapsewise.operators import aggregates as A
 from lapsewise.operators import segment as S
 from lapsewise.operators.enrich import engineer_features
 from lapsewise.plans import stages
+from lapsewise.sources.workspace import new_path
 
 
 @pytest.fixture(scope="module")
@@ -110,3 +111,13 @@ def test_cards_keep_empty_segments(spark):
     cards = {r["segment"]: r for r in A.segment_cards(df).collect()}
     assert set(cards) == set(K.SEGMENTS) and cards["Casual"]["players"] == 0
     assert cards["Whales"]["churn_pct"] == 50.0 and cards["Whales"]["avg_spend"] == 45.0
+
+
+def test_stored_segmenter_assigns_new_players(spark):
+    df = engineer_features(stages.enrich(make_players(spark, 300)))
+    fitted = S.fit_segmenter(df, restarts=1, max_iter=20)
+    loaded = S.Segmenter.load(spark, fitted.save(spark, new_path(spark, "segmenter")))
+    assert (loaded.features, loaded.medians, loaded.scales, loaded.names) == (fitted.features, fitted.medians, fitted.scales, fitted.names)
+    some = df.limit(20).withColumn("session_count", F.lit(None).cast("double"))
+    rows = loaded.segments(some).collect()
+    assert len(rows) == 20 and {r["segment"] for r in rows} <= set(K.SEGMENTS)
