@@ -29,21 +29,22 @@ RIGHT, NONE, WRONG = 8.0, 8.0, 2.0
 KEEP = 0.5
 
 
-def measured(df: DataFrame, text: str = "text", out: str = "_rules") -> DataFrame:
-    """Adds a struct of what the rules look at.
+def measured(df: DataFrame, text: str = "text", out: str = "_rules", keep_text: bool = True) -> DataFrame:
+    """The rows, with or without their text, and a struct of what the rules look at.
 
     Arrays are columns between the steps, and each is used at least twice in the next one: an
     expression used once inside a lambda would be moved into it and made anew for each element.
     """
-    own = df.columns
+    # the row travels as one struct, so that its columns' names don't matter
+    own = [c for c in df.columns if c != out and (keep_text or c != text)]
     full, words = F.col("_text"), F.col("_words")
     without = lambda pattern: F.length(F.regexp_replace(full, pattern, ""))
     nothing = lambda kind: F.array().cast(f"array<{kind}>")
 
-    step = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    step = df.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     step = step.withColumn("_lines", F.filter(F.split(full, "\n"), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != ""))
     step = step.select(
-        *own,
+        "_row",
         F.struct(
             without(SPACE).cast("long").alias("word_chars"),
             (F.length(full) - without("[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -97,7 +98,7 @@ def measured(df: DataFrame, text: str = "text", out: str = "_rules") -> DataFram
         *numbers("n_marks", "n_special", "n_lines"),
         F.size(F.array_distinct(words)).cast("long").alias("n_distinct"),
     )
-    return step.select(*own, result.alias(out))
+    return step.select(*(F.col(f"_row.`{c}`") for c in own), result.alias(out))
 
 
 def base_failed(at: str = "_rules") -> Column:
@@ -172,8 +173,7 @@ def judged(df: DataFrame, text: str = "text", keep_text: bool = True) -> DataFra
     The rows are written once with their numbers, so the texts are measured once. The accuracies
     are estimated on all texts that pass the base rules; the others are rejected anyway.
     """
-    rows = measured(df, text)
-    rows = materialise(rows if keep_text else rows.drop(text), "measured")
+    rows = materialise(measured(df, text, keep_text=keep_text), "measured")
     cast = votes()
     patterns = rows.where(~base_failed()).groupBy(*(v.alias(r) for r, v in cast.items())).count()
     share, weights = fit(materialise(patterns.coalesce(1), "patterns"))

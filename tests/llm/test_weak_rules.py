@@ -61,7 +61,9 @@ def test_windows_with_equal_hashes(spark, monkeypatch):
 
 
 def test_odd_documents(spark, odd_documents, no_documents):
-    rows = R.judged(odd_documents.drop("_text")).collect()
+    judged = R.judged(odd_documents)
+    assert judged.columns == [*odd_documents.columns, "_rules"]
+    rows = judged.collect()
     assert len(rows) == odd_documents.count()
     for r in rows:
         n = brute.rule_numbers(r.text)
