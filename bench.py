@@ -11,6 +11,7 @@ import time
 from pyspark.sql import SparkSession
 
 from lapsewise.queries import callables
+from lapsewise.sources.workspace import release
 
 HEADLINE = [
     "churn_and_engagement_by_mode",
@@ -76,6 +77,7 @@ def main() -> None:
         "queries": seconds,
         "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
     }))
+    release(spark)
     spark.stop()
 
 

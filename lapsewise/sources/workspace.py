@@ -4,6 +4,9 @@ A plan that is read more than once is written as Parquet in the folder that the
 ``spark.checkpoint.dir``. The table survives lost executors, cuts the lineage and gives later
 joins real sizes. A machine-local folder is used only when Spark itself runs in local mode and
 nothing is configured.
+
+Results are lazy and read these tables, so they live as long as the application; ``release`` drops
+all tables of the application when its results have been read.
 """
 
 import atexit
@@ -31,7 +34,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/lapsewise/{name}-{uuid.uuid4().hex}"
+    return f"{owned_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def owned_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/lapsewise/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Drop every table that this application has written here."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(owned_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:

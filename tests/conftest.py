@@ -12,6 +12,9 @@ for path in (ROOT, os.path.join(ROOT, "tests")):
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
+from lapsewise.sources.workspace import release  # noqa: E402
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = (
@@ -25,6 +28,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 

@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from lapsewise.sources import workspace
 from lapsewise.sources.workspace import materialise, new_path, shared_dir
 
 
@@ -32,3 +33,11 @@ def test_written_tables_cut_the_lineage(spark):
     df = materialise(spark.range(10).selectExpr("id", "id * 2 AS twice"))
     assert df.count() == 10 and "Range" not in df._jdf.queryExecution().executedPlan().toString()
     assert new_path(spark, "x") != new_path(spark, "x")
+
+
+def test_release_drops_the_applications_tables(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(workspace, "owned_dir", lambda _: str(tmp_path / "own"))
+    materialise(spark.range(3))
+    assert os.listdir(tmp_path) == ["own"]
+    workspace.release(spark)
+    assert os.listdir(tmp_path) == []
