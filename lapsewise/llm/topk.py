@@ -35,10 +35,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SCALE = 256
 SEGMENTS = (1, 4, 16)
-#: Numbers of all queries in one block: at most 32 MB are broadcast at once.
-BLOCK_NUMBERS = 4_000_000
-#: Vectors compared at once in a task.
-ROWS = 1024
+#: Numbers of all queries in one block: at most 8 MB are broadcast at once.
+BLOCK_NUMBERS = 1_000_000
+#: Pairs of a query and a vector that a task holds at once.
+PAIRS = 2_000_000
 #: For rounding in the bounds; scores are whole numbers.
 SLACK = 1e-3
 
@@ -128,9 +128,10 @@ def _search_block(rows: DataFrame, queries: DataFrame, n: int, part: int, parts:
 
     def scan(batches):
         best = Best(*block.value, k)
+        step = max(16, PAIRS // max(len(block.value[0]), 1))
         for batch in batches:
-            for at in range(0, len(batch), ROWS):
-                piece = batch.slice(at, ROWS)
+            for at in range(0, len(batch), step):
+                piece = batch.slice(at, step)
                 known = piece.column("vec_id")
                 ids = np.asarray(known.fill_null(0), np.int64)
                 without = np.asarray(known.is_null())

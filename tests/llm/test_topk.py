@@ -30,7 +30,7 @@ def wanted(rows, k):
 def test_odd_vectors(spark, monkeypatch):
     """Nulls, non-finite components, ties, several lengths, more than one block of queries."""
     monkeypatch.setattr(topk, "BLOCK_NUMBERS", 20)
-    monkeypatch.setattr(topk, "ROWS", 7)
+    monkeypatch.setattr(topk, "PAIRS", 1)
     rng = random.Random(2)
     rows = [(i, [rng.choice([-0.5, 0.0, 0.25, 1.0]) for _ in range(8)]) for i in range(200)]
     rows += [(200, None), (201, [None] * 8), (250, [float("nan")] * 8), (300, [float("inf")] * 8), (350, [1.0, 2.0]), (351, [0.5, -1.0]), (400, [])]
