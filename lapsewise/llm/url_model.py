@@ -7,8 +7,10 @@ probabilities are interpolated with those of the next shorter one. A URL's score
 its characters, of the difference between the two log-likelihoods. The threshold is the one with the
 best balanced accuracy on the calibration share, found on counts of score steps.
 
-Runs are kept from 1 / KEPT of all positions on, so a model has at most KEPT runs of each length
-whatever the input, and may be broadcast.
+Every run seen LEAST times is kept, whatever the size of the input, so a model grows with its examples.
+Weights are looked up for the distinct runs, each level next to the one that is a character shorter,
+and joined to the positions by the longest run; Spark decides whether a side is small enough to be
+broadcast.
 
 A null URL, or one without ``://``, has an empty host and path and is scored as it is (null: empty).
 A host is what stands up to the path, port included, A-Z lower-cased. Without examples of both kinds
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from lapsewise.operators.joins import join_lookup
 from lapsewise.sources.workspace import materialise
 
 #: Verdict, host and start of the path of each rule.
@@ -32,7 +35,11 @@ RULES = [
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 ]
-ORDER, KEPT = 5, 1 << 15
+ORDER = 5
+#: A run seen less often is left to the shorter contexts.
+LEAST = 2
+#: Read by OP9_SQL and the plain version of the tests only: up to 2 * KEPT positions their floor is LEAST.
+KEPT = 1 << 15
 #: Weight of the shorter context's probability, in observations.
 SMOOTH = 2.0
 START, END = "\x02", "\x03"
@@ -77,43 +84,52 @@ def runs(rows: DataFrame, *keep: str) -> DataFrame:
 def model(examples: DataFrame) -> DataFrame:
     """g, and w: the log of how much likelier the run's last character is among accepted URLs.
 
-    ``examples`` has _url and good. At most KEPT runs of each length come out.
+    ``examples`` has _url and good. Every run seen at least LEAST times comes out.
     """
     found = runs(examples, "good").select("good", F.explode(F.array(*RUNS)).alias("g"))
     counts = found.groupBy("g").agg(F.count_if("good").alias("n1"), F.count_if(~F.col("good")).alias("n0"))
     counts = counts.withColumn("k", F.length("g"))
+    # a context has at most as many rows as there are characters
     context = W.partitionBy("k", F.expr("substring(g, 1, k - 1)"))
-    counts = materialise(counts, "runs")
-    total = counts.where("k = 1").agg(F.sum(F.col("n1") + F.col("n0"))).first()[0] or 0
-    least = max(2, -(-total // KEPT))
     around = counts.select("*", *(F.sum(n).over(context).alias(f"{n}_context") for n in ("n1", "n0")))
-    kept = materialise(around.where(F.col("n1") + F.col("n0") >= least), "runs")
+    kept = materialise(around.where(F.col("n1") + F.col("n0") >= LEAST), "runs")
 
     def smoothed(kind: str, shorter: Column) -> Column:
         return (F.col(f"n{kind}") + SMOOTH * shorter) / (F.col(f"n{kind}_context") + SMOOTH)
 
-    level = kept.where("k = 1").select("g", *(smoothed(c, F.lit(1 / 256)).alias(f"p{c}") for c in "10"))
-    levels = [level]
+    level = materialise(kept.where("k = 1").select("g", *(smoothed(c, F.lit(1 / 256)).alias(f"p{c}") for c in "10")), "level")
+    table = level
     for k in range(2, ORDER + 1):
         # a kept run's end is kept, as it is seen at least as often
-        end = F.broadcast(level.select(F.col("g").alias("_end"), F.col("p1").alias("_p1"), F.col("p0").alias("_p0")))
+        end = level.select(F.col("g").alias("_end"), F.col("p1").alias("_p1"), F.col("p0").alias("_p0"))
         longer = kept.where(F.col("k") == k).join(end, F.expr("substring(g, 2)") == F.col("_end"))
-        level = longer.select("g", *(smoothed(c, F.col(f"_p{c}")).alias(f"p{c}") for c in "10"))
-        levels.append(level)
-    table = levels[0]
-    for level in levels[1:]:
+        level = materialise(longer.select("g", *(smoothed(c, F.col(f"_p{c}")).alias(f"p{c}") for c in "10")), "level")
         table = table.union(level)
     return materialise(table.select("g", (F.ln("p1") - F.ln("p0")).alias("w")), "model")
 
 
+def longest_known(seen: DataFrame, weights: DataFrame) -> DataFrame:
+    """g and w for each run of ORDER characters in ``seen``: the weight of its longest end in the model, else 0."""
+    found = None
+    for k in range(1, ORDER + 1):
+        ends = seen.select(F.expr(f"right(g, {k})").alias("g")).distinct()
+        own = weights.where(F.length("g") == k).select("g", "w")
+        if found is None:
+            found = ends.join(own, "g", "left").select("g", F.coalesce("w", F.lit(0.0)).alias("w"))
+        else:
+            shorter = found.select(F.col("g").alias("_end"), F.col("w").alias("_w"))
+            ends = ends.join(shorter, F.expr("substring(g, 2)") == F.col("_end"))
+            found = ends.join(own, "g", "left").select("g", F.coalesce("w", "_w").alias("w"))
+    return found
+
+
 def scored(rows: DataFrame, weights: DataFrame) -> DataFrame:
     """_row and step: the mean log-likelihood difference of ``_url`` in whole steps."""
-    ends = runs(rows, "_row")
-    for k in range(1, ORDER + 1):
-        own = F.broadcast(weights.where(F.length("g") == k).select(F.col("g").alias(f"_g{k}"), F.col("w").alias(f"w{k}")))
-        ends = ends.join(own, F.col(f"g{k}") == F.col(f"_g{k}"), "left").drop(f"_g{k}")
-    longest = F.coalesce(*(f"w{k}" for k in range(ORDER, 0, -1)), F.lit(0.0))
-    mean = F.round(F.sum(longest) / F.count("*"), 9)
+    ends = runs(rows, "_row").select("_row", F.col(f"g{ORDER}").alias("g"))
+    seen = materialise(ends.groupBy("g").agg(F.count("*").alias("_n")), "seen")
+    known = materialise(longest_known(seen.select("g"), weights).join(seen, "g"), "weights")
+    ends = join_lookup(ends, known, ["g"], "_n", ["_row"])
+    mean = F.round(F.sum("w") / F.count("*"), 9)
     step = F.greatest(F.least(F.floor(mean * STEPS), F.lit(RANGE)), F.lit(-RANGE))
     return ends.groupBy("_row").agg(step.cast("long").alias("step"))
 

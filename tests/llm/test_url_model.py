@@ -98,3 +98,20 @@ def test_model_size_is_bounded(spark, monkeypatch):
     examples = spark.range(200).selectExpr("concat('http://', md5(cast(id as string))) AS _url", "id % 2 = 0 AS good")
     sizes = Counter(len(r.g) for r in U.model(examples).collect())
     assert max(sizes.values()) <= 20
+
+
+def test_runs_are_kept_whatever_the_total(spark):
+    # 70 000 positions of one site may not push out a pattern that another site shows twice
+    urls = [("http://big.example.org/" + "ab" * 24, True)] * 1000 + [("http://small.example.com/de/qzj", False)] * 2
+    examples = spark.createDataFrame([(u, good) for u, good in urls], "_url string, good boolean")
+    weights = {r.g: r.w for r in U.model(examples).collect()}
+    assert {g for ends in grams(urls[-1][0]) for g in ends} <= set(weights)
+    assert weights["e/qzj"] < -1
+
+
+def test_weights_of_the_longest_known_ends(spark):
+    weights = {"a": 1.0, "b": 2.0, "ab": 3.0, "cab": 4.0, "xxcab": 5.0}
+    table = spark.createDataFrame(list(weights.items()), "g string, w double")
+    seen = ["xxcab", "yxcab", "xxxab", "xxxxa", "xxxxb", "xxxxz"]
+    found = {r.g: r.w for r in U.longest_known(spark.createDataFrame([(g,) for g in seen], "g string"), table).collect()}
+    assert found == dict(zip(seen, [5.0, 4.0, 3.0, 1.0, 2.0, 0.0]))
