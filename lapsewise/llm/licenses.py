@@ -6,7 +6,7 @@ canonical text is hash-joined to the digests of the known licences. Each line of
 in the same way as a text of its own, so declarations of one line are found as well.
 
 A null text counts as empty; an empty canonical text is no licence. Only candidates whose canonical
-length is that of a known licence need a digest for the join, which excludes nothing. Repeated rows
+length and first letters are those of a known licence need a digest for the join, which excludes nothing. Repeated rows
 get equal results, extra columns are ignored, an empty table gives an empty one.
 """
 
@@ -19,12 +19,16 @@ from lapsewise.sources.workspace import materialise
 #: A line that begins with a copyright sign or word, or only reserves all rights.
 COPYRIGHT = r"^[^\p{L}\p{N}]*(?:copyright\b.*|\(c\).*|©.*|all rights reserved\W*)$"
 
+#: Letters compared before a digest is computed.
+START = 12
+
 
 def known(spark: SparkSession, texts: dict[str, str] = TEXTS, declarations: dict[str, str] = DECLARATIONS) -> DataFrame:
-    """license_id, size and digest of each known text, made canonical like any other."""
+    """license_id, size, first letters and digest of each known text, made canonical like any other."""
     rows = [(name, text) for name, text in texts.items()] + [(name, line) for line, name in declarations.items()]
     forms = spark.createDataFrame(rows, "license_id string, text string").withColumn("whole", F.array_join(canonical_lines(F.col("text")), " "))
-    return forms.where("whole <> ''").select("license_id", F.length("whole").alias("size"), F.sha2("whole", 256).alias("digest")).distinct()
+    start = F.substring("whole", 1, START)
+    return forms.where("whole <> ''").select("license_id", F.length("whole").alias("size"), start.alias("start"), F.sha2("whole", 256).alias("digest")).distinct()
 
 
 def canonical_lines(text: Column) -> Column:
@@ -42,9 +46,9 @@ def canonical_lines(text: Column) -> Column:
 def scanned(docs: DataFrame, licenses: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, the digest of the canonical text, the whole text's license_id, and the ids found in single lines."""
     licenses = materialise(licenses.coalesce(1), "licenses")
-    sizes = [row["size"] for row in licenses.select("size").distinct().collect()]
+    sizes, starts = ([row[c] for row in licenses.select(c).distinct().collect()] for c in ("size", "start"))
     rows = docs.select("doc_id", canonical_lines(F.col(text)).alias("_lines"))
-    lines = F.array_distinct(F.filter("_lines", lambda x: F.length(x).isin(sizes)))
+    lines = F.array_distinct(F.filter("_lines", lambda x: F.length(x).isin(sizes) & F.substring(x, 1, START).isin(starts)))
     rows = rows.select(
         "doc_id", F.monotonically_increasing_id().alias("_row"), F.sha2(F.array_join("_lines", " "), 256).alias("digest"),
         F.transform(lines, lambda x: F.sha2(x, 256)).alias("_digests"),
