@@ -206,7 +206,7 @@ def _matrix(spark, sf_dir):
 
 @query("kmeans_segment_profile")
 def kmeans_segment_profile(spark, sf_dir):
-    df, _, _ = S.segment_players(materialise(featured(spark, sf_dir), "featured"), restarts=3, max_iter=100)
+    df, _, _ = S.segment_players(materialise(featured(spark, sf_dir), "featured"))
     return A.segment_profile(materialise(df, "segmented"))
 
 
@@ -214,7 +214,7 @@ def kmeans_segment_profile(spark, sf_dir):
 def segmenter_round_trip(spark, sf_dir):
     """A stored segmenter gives every player the segment that the fitted one gives."""
     df = materialise(featured(spark, sf_dir), "featured")
-    fitted = S.fit_segmenter(df, restarts=1, max_iter=100)
+    fitted = S.fit_segmenter(df)
     loaded = S.Segmenter.load(spark, fitted.save(spark, new_path(spark, "segmenter")))
     both = fitted.segments(df).join(loaded.segments(df).withColumnRenamed("segment", "again"), ["player_id", "cluster_id"])
     return both.agg(F.count("*").alias("players"), F.count_if(F.col("segment") == F.col("again")).alias("same"), F.countDistinct("segment").alias("segments"))
@@ -223,13 +223,13 @@ def segmenter_round_trip(spark, sf_dir):
 @query("kmeans_scan")
 def kmeans_scan(spark, sf_dir):
     _, matrix, features = _matrix(spark, sf_dir)
-    return S.scan_k(matrix, features, range(2, 9), restarts=1)
+    return S.scan_k(matrix, features, range(2, 9))
 
 
 @query("kmeans_silhouette")
 def kmeans_silhouette(spark, sf_dir):
     _, matrix, features = _matrix(spark, sf_dir)
-    assigned = S.assign(matrix, features, S.fit_kmeans(matrix, features, restarts=2, max_iter=100))
+    assigned = S.assign(matrix, features, S.fit_kmeans(matrix, features))
     return S.silhouette_by_cluster(materialise(assigned, "assigned"), features)
 
 
@@ -240,7 +240,7 @@ def kmeans_embeddings_quality(spark, sf_dir):
     dims = len(table.select("embedding").first()[0])
     names = [f"e{i}" for i in range(dims)]
     matrix = materialise(table.select("vec_id", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)]), "embeddings")
-    assigned = S.assign(matrix, names, S.fit_kmeans(matrix, names, k=10, restarts=2, max_iter=50))
+    assigned = S.assign(matrix, names, S.fit_kmeans(matrix, names, k=10))
     return S.davies_bouldin(materialise(assigned, "assigned"), names)
 
 
