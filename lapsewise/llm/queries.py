@@ -189,9 +189,7 @@ counts AS (
   SELECT g, k, count(*) FILTER (WHERE ruled = 'allow') AS n1, count(*) FILTER (WHERE ruled = 'block') AS n0
   FROM grams WHERE ruled IS NOT NULL AND NOT held GROUP BY g, k),
 around AS (SELECT *, sum(n1) OVER x AS c1, sum(n0) OVER x AS c0 FROM counts WINDOW x AS (PARTITION BY k, substr(g, 1, k - 1))),
-kept AS (
-  SELECT * FROM around
-  WHERE n1 + n0 >= (SELECT greatest(2, ceil(coalesce(sum(n1 + n0), 0) / {url_model.KEPT}.0)) FROM counts WHERE k = 1)),
+kept AS (SELECT * FROM around WHERE n1 + n0 >= {url_model.LEAST}),
 {", ".join(_level(k) for k in range(1, _ORDER + 1))},
 weights AS ({" UNION ALL ".join(f"SELECT g, ln(p1) - ln(p0) AS w FROM w{k}" for k in range(1, _ORDER + 1))}),
 best AS (SELECT n, i, coalesce(arg_max(w, k) FILTER (WHERE w IS NOT NULL), 0) AS w FROM grams LEFT JOIN weights USING (g) GROUP BY n, i),

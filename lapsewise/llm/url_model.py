@@ -38,8 +38,6 @@ RULES = [
 ORDER = 5
 #: A run seen less often is left to the shorter contexts.
 LEAST = 2
-#: Read by OP9_SQL and the plain version of the tests only: up to 2 * KEPT positions their floor is LEAST.
-KEPT = 1 << 15
 #: Weight of the shorter context's probability, in observations.
 SMOOTH = 2.0
 START, END = "\x02", "\x03"

@@ -33,7 +33,6 @@ def plain(urls):
         if verdict and not h:
             counts[verdict].update(g for ends in grams(u) for g in ends)
     both = counts["allow"] + counts["block"]
-    least = max(2, -(-sum(n for g, n in both.items() if len(g) == 1) // U.KEPT))
     context = {v: Counter() for v in counts}
     for v in counts:
         for g, n in counts[v].items():
@@ -43,7 +42,7 @@ def plain(urls):
         shorter = p(v, g[1:]) if len(g) > 1 else 1 / 256
         return (counts[v][g] + U.SMOOTH * shorter) / (context[v][len(g), g[:-1]] + U.SMOOTH)
 
-    weight = {g: math.log(p("allow", g)) - math.log(p("block", g)) for g, n in both.items() if n >= least}
+    weight = {g: math.log(p("allow", g)) - math.log(p("block", g)) for g, n in both.items() if n >= U.LEAST}
     steps = []
     for u in urls:
         ends = grams(u)
@@ -93,11 +92,31 @@ def test_long_url_and_no_examples(spark):
     assert {r.verdict for r in U.judged(table).collect()} == {"allow"}
 
 
-def test_model_size_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(U, "KEPT", 20)
-    examples = spark.range(200).selectExpr("concat('http://', md5(cast(id as string))) AS _url", "id % 2 = 0 AS good")
-    sizes = Counter(len(r.g) for r in U.model(examples).collect())
-    assert max(sizes.values()) <= 20
+def test_model_grows_with_its_examples(spark):
+    def runs_of(n):
+        made = "concat('http://', md5(cast(id as string)))"
+        examples = spark.range(n).selectExpr(f"{made} AS _url", "id % 2 = 0 AS good")
+        return U.model(examples).count()
+
+    assert runs_of(4000) > 2 * runs_of(1000)
+
+
+def test_sql_beyond_65536_positions(spark, tmp_path):
+    """The query equals its SQL where one site's pages alone have more positions than that."""
+    import duckdb
+
+    from lapsewise.llm.queries import SQL
+
+    hosts = "element_at(array('a.org', 'b.com', 'example.org', 'c.net', 'example.com'), cast(id % 5 as int) + 1)"
+    path = "element_at(array('fr', 'de', 'es', 'en'), cast(id % 7 % 4 as int) + 1)"
+    rows = spark.range(4000).selectExpr("id AS page_id", f"concat('http://', {hosts}, '/', {path}, '/', md5(cast(id % 900 as string))) AS url")
+    rows.write.parquet(f"{tmp_path}/pages.parquet")
+    assert spark.read.parquet(f"{tmp_path}/pages.parquet").selectExpr("sum(length(url))").first()[0] > 2 * 65536
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+        wanted = sorted(db.execute(f"SELECT page_id, verdict, step FROM ({SQL['op9_url_markov_ratio']})").fetchall())
+    got = sorted(tuple(r) for r in QUERIES["op9_url_markov_ratio"](spark, str(tmp_path)).select("page_id", "verdict", "step").collect())
+    assert got == wanted
 
 
 def test_runs_are_kept_whatever_the_total(spark):
