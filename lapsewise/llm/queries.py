@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import bpe, knn_quality, licenses, line_dedup, minhash, packing, sharding, topk, url_model, weak_rules
+from lapsewise.llm import bpe, fill_middle, knn_quality, licenses, line_dedup, minhash, packing, sharding, topk, url_model, weak_rules
 from lapsewise.llm.license_texts import DECLARATIONS, SPELLINGS, TEXTS
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -211,3 +211,33 @@ FROM r JOIN steps USING (n)
 @query("op9_url_markov_ratio", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_model.judged(table(spark, sf_dir, "pages", "page_id", "url"))
+
+
+OP13_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+numbers AS (
+  SELECT doc_id, text, n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS x, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS y,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS p, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS s FROM d),
+cut AS (
+  SELECT doc_id, text, n, least(x, y) AS a, greatest(x, y) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR p >= 90 THEN 'plain'
+              WHEN s < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+made AS (
+  SELECT *, CASE form WHEN 'plain' THEN text
+                      WHEN 'psm' THEN '<P>' || left(text, a) || '<S>' || substr(text, b + 1) || '<M>' || substr(text, a + 1, b - a)
+                      ELSE '<S>' || substr(text, b + 1) || '<P>' || left(text, a) || '<M>' || substr(text, a + 1, b - a) END AS output FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars, sha256(output) AS output_sha256, sha256(text) AS restored_sha256
+FROM made
+"""
+
+
+@query("op13_fill_middle_chunks", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_middle.transformed(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored("output", "form"), 256).alias("restored_sha256"),
+    )
