@@ -4,10 +4,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import bpe, fill_middle, knn_quality, licenses, line_dedup, minhash, packing, sharding, topk, url_model, weak_rules
+from lapsewise.llm import alignment, bpe, fill_middle, knn_quality, licenses, line_dedup, minhash, packing, sharding, topk, url_model, weak_rules
 from lapsewise.llm.license_texts import DECLARATIONS, SPELLINGS, TEXTS
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+ALIGNED = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 QUERIES, SQL = {}, {}
 
 
@@ -241,3 +242,8 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("output", 256).alias("output_sha256"),
         F.sha2(fill_middle.restored("output", "form"), 256).alias("restored_sha256"),
     )
+
+
+@query("op12_alignment_bitmaps")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents", "doc_id", "text"), *ALIGNED)
