@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import alignment, bpe, fill_middle, knn_quality, licenses, line_dedup, minhash, packing, sharding, topk, url_model, weak_rules
+from lapsewise.llm import alignment, bpe, fill_middle, knn_quality, licenses, line_dedup, minhash, packing, secret_scan, sharding, topk, url_model, weak_rules
 from lapsewise.llm.license_texts import DECLARATIONS, SPELLINGS, TEXTS
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -247,3 +247,9 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_alignment_bitmaps")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned(table(spark, sf_dir, "documents", "doc_id", "text"), *ALIGNED)
+
+
+@query("op11_secret_novelty")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.scanned(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return rows.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_novel")
