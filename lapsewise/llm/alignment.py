@@ -1,7 +1,8 @@
 """Alignment of two tokenizers, with corpus-wide counts of token pairs from inverted bitmaps.
 
 Tokenizer A is a byte-level BPE file of the ``tokenizers`` library and reads a space and the text, with
-special tokens spelled as plain text; B is a ``sentencepiece`` model that adds the space itself. A
+special tokens spelled as plain text (characters of long standing are merged by ``tiktoken`` from the same file, with
+the same ids); B is a ``sentencepiece`` model that adds the space itself. A
 token's bytes tell where it ends. Ends that both sides share cut a document into groups, and
 an occurrence of A and one of B are linked if their byte ranges overlap.
 
@@ -18,8 +19,11 @@ is held whole by the task that reads its row, with all its links; a block closes
 """
 
 import hashlib
+import json
 import os
+import re
 import sys
+import unicodedata
 from collections.abc import Iterator
 from itertools import chain
 
@@ -30,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapsewise.llm.arrays import gathered, worker_state
+from lapsewise.llm.arrays import gathered, ranges, worker_state
 from lapsewise.llm.bpe import byte_alphabet
 from lapsewise.sources.workspace import materialise
 
@@ -45,10 +49,41 @@ MOST_LINKS, MOST_DOCUMENTS = 8_000_000, 1 << 16
 B_BITS = 24
 #: Rows of a returned batch; dense bitmaps unpacked together.
 RETURNED, UNPACKED = 1 << 16, 1 << 10
+#: Words and blanks from here on go to the library's own merging, which is not quadratic in them.
+LONG_WORD = 512
+BLANK = re.compile(r"\s{%d}" % LONG_WORD)
+# Fixed value: how a byte-level pre-tokenizer of that file format splits a text.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Plane number of the bitmap of all documents that hold a pair.
 ALL = -1
 
 
+def by_ranks(file: dict):
+    """The same merges in ``tiktoken``, which is faster: where every merge makes the next id, ids are ranks. Else None."""
+    import tiktoken
+
+    model, split = file["model"], file.get("pre_tokenizer") or {}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    letters, vocab = byte_alphabet(), model["vocab"]
+    special = {t["content"] for t in file.get("added_tokens", [])}
+    made = [*sorted(letters, key=lambda c: vocab.get(c, -1)), *("".join(m) for m in merges)]
+    odd = any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    if odd or not plain or file.get("normalizer") or [vocab.get(t) for t in made] != [*range(len(made))] or set(vocab) - set(made) - special:
+        return None
+    byte_of = {c: b for b, c in enumerate(letters)}
+    ranks = {bytes(byte_of[c] for c in t): i for i, t in enumerate(made)}
+    return tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+
+def known_characters() -> str:
+    """A character class of what all versions of Unicode since 3.2 sort alike, so that both libraries split it alike."""
+    old, new = unicodedata.ucd_3_2_0.category, unicodedata.category
+    same = [old(c)[0] == new(c)[0] != "C" or c in "\t\n\r" for c in map(chr, range(sys.maxunicode + 1))]
+    start, end = ranges(np.array(same))
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(start.tolist(), end.tolist()))
+
+
 class Side:
     """The bytes of each token, end to end, and where they start."""
 
@@ -70,6 +105,8 @@ class Pair:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(spec)
+        self.same_merges = by_ranks(json.loads(spec))
+        self.known = re.compile(f"[{known_characters()}]*") if self.same_merges else None
         self.library.encode_special_tokens = True
         self.library.no_truncation()
         self.library.no_padding()
@@ -89,11 +126,23 @@ class Pair:
 
     def encoded(self, texts: list[str]) -> tuple:
         """Ids of A and of B of all texts, end to end, and how many each text has."""
-        a = [e.ids for e in self.library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        a = self.ids_of_a([" " + t for t in texts])
         b = self.pieces.encode(texts, num_threads=1)
         flat = lambda rows: np.fromiter(chain.from_iterable(rows), np.int64)
         return flat(a), np.array([*map(len, a)]), flat(b), np.array([*map(len, b)])
 
+    def ids_of_a(self, texts: list[str]) -> list[list[int]]:
+        out, others = [None] * len(texts), []
+        for i, text in enumerate(texts):
+            if self.same_merges and self.known.fullmatch(text) and max(map(len, text.split()), default=0) < LONG_WORD and not BLANK.search(text):
+                out[i] = self.same_merges.encode_ordinary(text)
+            else:
+                others.append(i)
+        if others:
+            for i, found in zip(others, self.library.encode_batch_fast([texts[i] for i in others], add_special_tokens=False)):
+                out[i] = found.ids
+        return out
+
     def aligned(self, texts: list[str]) -> tuple[list[tuple], tuple]:
         """(n_a, n_b, n_groups, n_links, groups_sha256) of each text; and A's id, B's id and text number of each link."""
         a, n_a, b, n_b = self.encoded(texts)
@@ -109,23 +158,22 @@ class Pair:
         a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
         n_a, n_b, size = n_a * good, n_b * good, size * good
         end_a, end_b, stop = np.cumsum(self.a.size[a]), np.cumsum(self.b.size[b]), np.cumsum(size)
-        ends = np.union1d(end_a, end_b)
-        of_a, of_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
-        shared = (end_a[of_a] == ends) & (end_b[of_b] == ends)
-        common = ends[shared]
-        per_text = lambda places: np.diff(np.searchsorted(places, stop, "right"), prepend=0)
-        n_groups, n_links = per_text(common), per_text(ends)
+        at_a, at_b = (np.zeros(int(stop[-1]) + 1, bool) for _ in "ab")
+        at_a[end_a], at_b[end_b] = True, True
+        ends, common = np.flatnonzero(at_a | at_b), at_a & at_b
+        # how many tokens end before each end is the number of the one that holds the bytes up to it
+        of_a, of_b = np.cumsum(at_a)[ends] - at_a[ends], np.cumsum(at_b)[ends] - at_b[ends]
+        n_links, n_groups = (np.diff(np.cumsum(marks)[stop], prepend=0) for marks in (at_a | at_b, common))
         digests = self._group_digests(a, b, end_a, end_b, common, n_a, n_b)
         rows = [(*x, d if ok else "") for *x, d, ok in zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist(), digests, good)]
         return rows, (a[of_a], b[of_b], np.repeat(np.arange(len(texts)), n_links))
 
     def _group_digests(self, a, b, end_a, end_b, common, n_a, n_b) -> list[str]:
-        group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
-        last_a = np.isin(end_a, common, assume_unique=True)
-        last_b = np.isin(end_b, common, assume_unique=True)
-        # of a group first the tokens of A, then those of B
-        place_a = np.arange(len(a)) + np.searchsorted(group_b, group_a, "left")
-        place_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")
+        last_a, last_b = common[end_a], common[end_b]
+        # of a group first the tokens of A, then those of B: so many of the other side stand before a token
+        before_a, before_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        upto_a, upto_b = (np.concatenate([[0], np.flatnonzero(last) + 1]) for last in (last_a, last_b))
+        place_a, place_b = np.arange(len(a)) + upto_b[before_a], np.arange(len(b)) + upto_a[before_b + 1]
         tokens = np.empty(len(a) + len(b), np.int64)
         tokens[place_a], tokens[place_b] = a + self.most * last_a, b + 2 * self.most * last_b
         edge = np.concatenate([[0], np.cumsum(self.digits.size[tokens])])[np.concatenate([[0], np.cumsum(n_a + n_b)])]

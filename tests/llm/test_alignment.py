@@ -1,6 +1,7 @@
 """Groups, links and pair counts against a plain version."""
 
 import hashlib
+import json
 from bisect import bisect_left
 from collections import Counter
 
@@ -124,3 +125,24 @@ def test_bitmaps_hold_documents_and_multiplicities():
             kinds.add(d)
             got.update({(p >> A.B_BITS, p & (1 << A.B_BITS) - 1, int(i)): 1 if k == A.ALL else 1 << k for i in places})
     assert got == wanted and kinds == {True, False}
+
+
+def test_both_libraries_of_a_agree(libraries):
+    """On every character that goes to the faster one, between letters, digits, blanks and others of its kind."""
+    with open(ALIGNED[0], encoding="utf-8") as a, open(ALIGNED[1], "rb") as b:
+        own = A.Pair(a.read(), b.read())
+    known = [c for c in map(chr, range(0x110000)) if own.known.fullmatch(c)]
+    assert len(known) > 90_000 and {"a", "é", "日", "\n", "\u3000"} <= set(known) and not {"\x85", "\u200b", "\x1c"} & set(known)
+    texts = [f"a{c}b {c}{c}1{c}!{c}  {c}\n{c}" for c in known] + ["x" * 5000, " " * 5000, "it's I'll 'S", "\r\n\t \n x"]
+    wanted = [e.ids for e in own.library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [own.same_merges.encode_ordinary(t) for t in texts] == wanted
+    assert own.ids_of_a(texts) == wanted
+
+
+def test_other_files_are_left_to_the_library():
+    with open(ALIGNED[0], encoding="utf-8") as file:
+        spec = json.load(file)
+    assert A.by_ranks(spec) is not None
+    assert A.by_ranks(spec | {"normalizer": {"type": "NFC"}}) is None
+    merges = spec["model"]["merges"]
+    assert A.by_ranks(spec | {"model": spec["model"] | {"merges": [merges[1], merges[0], *merges[2:]]}}) is None
