@@ -1,7 +1,7 @@
 """Near-duplicate detection with b-bit MinHash.
 
 Words are the runs of characters outside U+0020 and U+0009 to U+000D, A-Z lower-cased; a document's
-set holds its distinct shingles of four words, or its whole sequence if it has fewer. Documents are
+set holds its distinct shingles of four words (a parameter), or its whole sequence if it has fewer. Documents are
 linked if 100 * intersection >= 80 * union.
 
 Documents with equal sets form a class, and only one of them goes on. Bands of full minima give
@@ -22,11 +22,12 @@ to: it keeps a null component and is kept. Other columns are ignored. Empty tabl
 """
 
 import sys
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -37,6 +38,7 @@ from lapsewise.sources.workspace import materialise
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Shingle length in words, and the share of the union that must be common, in percent.
+#: Words of a shingle unless a caller says otherwise; similarity in percent.
 WORDS, PERCENT = 4, 80
 #: 32 bands of 5 minima miss a pair at the threshold with a chance of 3 in a million.
 BANDS, ROWS = 32, 5
@@ -61,8 +63,8 @@ def mixed(x):
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_sets(texts: list) -> tuple:
-    """Distinct shingle hashes of each text, sorted, in one array, and how many each text has."""
+def shingle_sets(texts: list, words: int = WORDS) -> tuple:
+    """Distinct hashes of each text's shingles of so many words, sorted, in one array, and how many each text has."""
     raw = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
     text = np.frombuffer(b"".join(r + b"\n" for r in raw), np.uint8)
     start, end = ranges(~ascii_space()[text])
@@ -71,13 +73,13 @@ def shingle_sets(texts: list) -> tuple:
     n = np.diff(stop, prepend=0)
     owner = np.repeat(np.arange(len(raw)), n)
     random = np.random.Generator(np.random.PCG64(11))
-    factor = random.integers(0, 2**63, WORDS, np.uint64) * np.uint64(2) + np.uint64(1)
+    factor = random.integers(0, 2**63, words, np.uint64) * np.uint64(2) + np.uint64(1)
     total = word * factor[0]
-    for k in range(1, WORDS):  # a short text's single shingle ends with it
+    for k in range(1, words):  # a short text's single shingle ends with it
         total[:-k] += np.where(owner[k:] == owner[:-k], word[k:] * factor[k], 0)
     at = np.arange(len(word)) - np.repeat(stop - n, n)
-    whole = at <= np.maximum(np.repeat(n, n) - WORDS, 0)
-    shingle = mixed(total[whole] + np.minimum(n, WORDS).astype(np.uint64)[owner[whole]])
+    whole = at <= np.maximum(np.repeat(n, n) - words, 0)
+    shingle = mixed(total[whole] + np.minimum(n, words).astype(np.uint64)[owner[whole]])
     owner = owner[whole]
     edge = np.searchsorted(owner, np.arange(len(raw) + 1)).tolist()
     for a, b in zip(edge, edge[1:]):
@@ -123,10 +125,10 @@ def split_up(batch, column: str):
             at, size = i + 1, 0
 
 
-def sketched(batches):
+def sketched(batches, words: int):
     for batch in batches:
         for part, texts in split_up(batch, "text"):
-            shingle, n = shingle_sets(texts)
+            shingle, n = shingle_sets(texts, words)
             sums, key, packed = sketches(shingle, n)
             empty = n == 0
             at = np.maximum(np.cumsum(~empty) - 1, 0)
@@ -140,10 +142,10 @@ def sketched(batches):
             )
 
 
-def full_sets(batches):
+def full_sets(batches, words: int):
     for batch in batches:
         for part, texts in split_up(batch, "text"):
-            shingle, n = shingle_sets(texts)
+            shingle, n = shingle_sets(texts, words)
             sets = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(shingle.view(np.int64)))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), sets], names=["node", "shingles"])
 
@@ -185,28 +187,36 @@ def few(df: DataFrame, name: str) -> DataFrame:
     return materialise(df.coalesce(max(1, parts // 8)), name)
 
 
+def observed(df: DataFrame, name: str, *metrics: Column) -> tuple[DataFrame, dict]:
+    """The same, and metrics of the rows, taken while they are written."""
+    seen = Observation()
+    return few(df.observe(seen, *metrics), name), seen.get
+
+
 def components(edges: DataFrame) -> DataFrame:
     """The smallest member reachable from each node of the edges (a, b): columns node and label.
 
     Each round links every node's larger neighbours, then the node and its smaller neighbours, to
-    the smallest member of its neighbourhood, until all that is left are stars.
+    the smallest member of its neighbourhood, until all that is left are stars. The smallest members
+    are grouped by the node that the links are then joined by, so a join of shuffled rows needs
+    no exchange of its own; a broadcast would.
     """
     def linked(pairs, condition):
         low = pairs.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        return pairs.join(low, "a").where(condition).select(F.col("b").alias("a"), F.col("low").alias("b"))
+        return pairs.join(low.hint("merge"), "a").where(condition).select(F.col("b").alias("a"), F.col("low").alias("b"))
 
-    def state(df):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    def written(df):
+        return observed(df, "edges", F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"))
 
     flipped = lambda df: df.unionByName(df.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    now = few(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "edges")
-    before = None
-    while (seen := state(now)) != before:
+    now, seen = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct())
+    before = {"n": 0}
+    while seen["n"] and seen != before:
         before = seen
         large = linked(flipped(now), "b > a").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        now = few(small.union(low).distinct(), "edges")
+        small = large.join(low.hint("merge"), "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        now, seen = written(small.union(low).distinct())
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     )
@@ -218,7 +228,7 @@ def best(pairs: DataFrame, n: int) -> DataFrame:
     return pairs.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= n).drop("_rank")
 
 
-def find_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def find_links(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """Components of the linked classes; nodes holds each class's smallest document and its sketch."""
     stored = ["node", "n", *PACKED]
     bands = nodes.select("node", F.explode("bands").alias("band"))
@@ -230,17 +240,18 @@ def find_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     stars = stars.join(renamed(nodes, "b", *stored), F.col("b") == F.col("bnode"))
     stars = stars.where(near("a", "b")).select("a", "b", estimate("a", "b").alias("similar"))
     pairs = few(best(stars, FIRST).select("a", "b"), "pairs")
-    sets = materialise(sets_of(docs, ids_of(pairs)), "sets")
+    sets = materialise(sets_of(docs, ids_of(pairs), words), "sets")
     labels = components(confirmed(pairs, sets))
 
     rows = mixed_buckets(members, nodes, labels)
-    open_ = few(still_open(rows), "open")
-    if open_.isEmpty():
+    count = F.count(F.lit(1)).alias("n")
+    open_, seen = observed(still_open(rows), "open", count)
+    if not seen["n"]:
         return labels
-    sets = sets.union(materialise(sets_of(docs, open_.join(sets, "node", "left_anti").withColumnRenamed("node", "doc_id")), "sets"))
+    sets = sets.union(materialise(sets_of(docs, open_.join(sets, "node", "left_anti").withColumnRenamed("node", "doc_id"), words), "sets"))
     rows = gathered_by_main(rows.join(open_, "node"))
-    links = few(within_gathered(rows, sets), "links").union(few(confirmed(few(across(rows), "pairs"), sets), "links"))
-    if links.isEmpty():
+    links, seen = observed(within_gathered(rows, sets).union(confirmed(few(across(rows), "pairs"), sets)), "links", count)
+    if not seen["n"]:
         return labels
     return components(links.union(labels.select(F.col("label").alias("a"), F.col("node").alias("b"))))
 
@@ -249,10 +260,10 @@ def ids_of(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The full sets of the wanted doc_ids, by one plan at every size."""
-    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
-    return texts.mapInArrow(full_sets, "node long, shingles array<long>")
+def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """The full sets of the wanted doc_ids; whether the ids go to the texts or both are shuffled is left to Spark, by their size."""
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    return texts.mapInArrow(partial(full_sets, words=words), "node long, shingles array<long>")
 
 
 def mixed_buckets(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -371,10 +382,10 @@ def block_links(block):
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept, for each row of documents."""
+def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept, for each row of documents, by shingles of so many words."""
     schema = "doc_id long, n_shingles long, key_a long, key_b long, bands array<long>, " + ", ".join(f"{s} long" for s in PACKED)
-    rows = materialise(docs.select("doc_id", "text").mapInArrow(sketched, schema), "sketches")
+    rows = materialise(docs.select("doc_id", "text").mapInArrow(partial(sketched, words=words), schema), "sketches")
     linked = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     key = ["key_a", "key_b", "n_shingles"]
     classes = linked.groupBy(*key).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").drop("last")
@@ -382,11 +393,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # a class is represented by its smallest document
     nodes = linked.join(classes, key, "left").where("first IS NULL OR first = doc_id")
     nodes = materialise(nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bands", *PACKED), "nodes")
-    labels = find_links(docs, nodes)
+    labels = find_links(docs, nodes, words)
 
     several = linked.groupBy("doc_id").agg(*(f(c).alias(f"{c} {f.__name__}") for c in key for f in (F.min, F.max)))
     several = several.where(" OR ".join(f"`{c} min` <> `{c} max`" for c in key))
-    if not few(several.select("doc_id"), "several").isEmpty():
+    if observed(several.select("doc_id"), "several", F.count(F.lit(1)).alias("n"))[1]["n"]:
         # a doc_id with several texts joins their classes
         same = linked.join(classes, key).where("doc_id > first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
         labels = components(labels.select(F.col("label").alias("a"), F.col("node").alias("b")).union(same))

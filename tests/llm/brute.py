@@ -6,16 +6,16 @@ from collections import Counter, defaultdict
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
 
-def shingle_set(text):
+def shingle_set(text, n=4):
     words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not words:
         return frozenset()
-    return frozenset(zip(*(words[k:] for k in range(4)))) if len(words) >= 4 else frozenset([tuple(words)])
+    return frozenset(zip(*(words[k:] for k in range(n)))) if len(words) >= n else frozenset([tuple(words)])
 
 
-def near_components(rows):
+def near_components(rows, words=4):
     """doc_id -> (set sizes, component) by comparing all pairs that share a shingle."""
-    sets = [(i, shingle_set(t)) for i, t in rows]
+    sets = [(i, shingle_set(t, words)) for i, t in rows]
     parent = {i: i for i, _ in sets}
 
     def root(x):

@@ -49,7 +49,7 @@ def test_lines(outputs):
 
 def test_near_duplicates(outputs):
     before = list(texts(outputs, "line_dedup").items())
-    component = brute.near_components(before)
+    component = brute.near_components(before, P.NEAR_WORDS)
     assert set(texts(outputs, "near_dedup")) == {i for i, _ in before if component[i] == i}
 
 
@@ -75,3 +75,12 @@ def test_odd_documents(spark, sf_dir, odd_documents):
         if name == "near_dedup":
             assert sum(r.doc_id == 20 for r in kept) == 1 and not any(r.doc_id == 21 for r in kept)
     assert {r.doc_id for r in P.packed(spark, docs, sf_dir).collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_rows_are_linked_by_their_texts(spark, sf_dir):
+    """Rows of one doc_id with different texts stay; copies without doc_id go with the others."""
+    one, two, three = (" ".join(f"{k}word{i}" for i in range(60)) for k in "abc")
+    rows = [(1, one), (1, two), (None, three), (None, three), (2, three), (None, one), (3, None), (3, None), (4, ""), (1, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((tuple(r) for r in P.near_duplicates(spark, docs, sf_dir).collect()), key=str)
+    assert kept == sorted([(1, one), (1, two), (2, three), (3, None), (3, None), (4, "")], key=str)
