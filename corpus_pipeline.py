@@ -14,6 +14,8 @@ from lapsewise.sources.workspace import materialise
 
 #: Score from which the classifier's documents stay.
 MIN_SCORE = 0.3
+#: Words of a shingle of near duplicates (query op3 takes four by its contract).
+NEAR_WORDS = 5
 
 
 def boxed(docs: DataFrame) -> DataFrame:
@@ -45,16 +47,19 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, and one row of each doc_id."""
-    found = materialise(minhash.near_duplicates(docs), "near")
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    rows = docs.join(gone, "doc_id", "left_anti")
-    again = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    again = materialise(again, "again")
-    if not again.isEmpty():
-        one = rows.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        rows = rows.join(again, "doc_id", "left_anti").unionByName(one)
-    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
+    """One row of each group of near duplicates: the one with the smallest doc_id, null last.
+
+    Rows are linked by numbers of their own, so that rows without doc_id, or with one doc_id and several texts, are
+    linked by what they say; a row linked with nothing stays.
+    """
+    rows = materialise(boxed(docs).select(F.monotonically_increasing_id().alias("_row"), "row"), "numbered")
+    found = minhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "row.text"), NEAR_WORDS)
+    several = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1")
+    several = materialise(found.join(several, "component_id").select(F.col("doc_id").alias("_row"), "component_id"), "several")
+    members = several.join(rows.select("_row", F.col("row.doc_id").alias("id")), "_row")
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "_row"))["_row"].alias("_row"))
+    gone = several.select("_row").join(first.select("_row"), "_row", "left_anti")
+    return rows.join(gone, "_row", "left_anti").select("row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
