@@ -3,22 +3,13 @@
 Attributions are a long table (player_id, feature, value, contribution) over all players.
 """
 
-import math
-import sys
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lapsewise import constants as K
 from lapsewise.functions.numeric import num
-
-# helpers of this module travel with the job; executors do not need the package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from lapsewise.operators.tree_paths import cells, tree_attributions
 
 
 def feature_means(matrix: DataFrame, features: list[str]) -> dict[str, float]:
@@ -44,98 +35,9 @@ def linear_contributions(
     return matrix.select(key, F.inline(cells))
 
 
-# One root-to-leaf path as plain values, so that it travels to tasks without this package:
-# (output, features, low, high, share); share is the part of the rows kept by a feature's splits.
-Leaf = tuple[float, list[int], np.ndarray, np.ndarray, np.ndarray]
-
-
-def _leaves(root, output) -> list[Leaf]:
-    """Flatten a fitted tree. Splits on one feature merge into one interval (low, high]."""
-    leaves = []
-
-    def walk(node, path):
-        if node.getClass().getSimpleName() == "LeafNode":
-            names = list(path)
-            leaves.append((output(node), names, *(np.array([path[f][i] for f in names]) for i in range(3))))
-            return
-        split, cover = node.split(), node.impurityStats().count()
-        f, at = split.featureIndex(), split.threshold()
-        low, high, share = path.get(f, (-math.inf, math.inf, 1.0))
-        left, right = node.leftChild(), node.rightChild()
-        walk(left, {**path, f: (low, min(high, at), share * left.impurityStats().count() / cover)})
-        walk(right, {**path, f: (max(low, at), high, share * right.impurityStats().count() / cover)})
-
-    walk(root, {})
-    return leaves
-
-
-def ensemble_leaves(model) -> tuple[list[Leaf], float]:
-    """(leaves, base value) of a forest (probability of class 1) or of boosted trees (margin).
-
-    The size is set by the number of trees and their depth, not by the data.
-    """
-    weights = list(model.treeWeights)
-    trees = list(model.trees)
-    forest = "RandomForest" in type(model).__name__
-    scale = [w / (sum(weights) if forest else 1.0) for w in weights]
-    leaves = []
-    for tree, weight in zip(trees, scale):
-        def output(node, w=weight):
-            if not forest:
-                return w * node.prediction()
-            stats = list(node.impurityStats().stats())
-            return w * stats[1] / sum(stats)
-
-        leaves += _leaves(tree._java_obj.rootNode(), output)
-    return leaves, float(sum(output * np.prod(share) for output, _, _, _, share in leaves))
-
-
-def _leaf_contributions(leaf: Leaf, x: np.ndarray) -> np.ndarray:
-    """Shapley values of one path for a batch: how following the row instead of the cover share pays.
-
-    With o = 1 where the row satisfies the path's interval, feature i gets
-    output * (o_i - share_i) * sum over s of s!(u-s-1)!/u! * [t^s] prod_{j != i} (share_j + o_j t).
-    """
-    output, names, low, high, share = leaf
-    u = len(names)
-    columns = x[:, names]
-    inside = ((columns > low) & (columns <= high)).astype(float)
-    order = np.array([math.factorial(s) * math.factorial(u - s - 1) / math.factorial(u) for s in range(u)])
-    out = np.empty((len(x), u))
-    for i in range(u):
-        poly = np.zeros((len(x), u))
-        poly[:, 0] = 1.0
-        for j in range(u):
-            if j != i:
-                shifted = np.zeros_like(poly)
-                shifted[:, 1:] = poly[:, :-1] * inside[:, [j]]
-                poly = poly * share[j] + shifted
-        out[:, i] = output * (inside[:, i] - share[i]) * (poly @ order)
-    return out
-
-
 def tree_contributions(matrix: DataFrame, features: list[str], model, key: str = K.ID) -> DataFrame:
-    """Path-dependent attributions of a tree ensemble for every row; base + sum = model output."""
-    leaves, _ = ensemble_leaves(model)
-    shipped = matrix.sparkSession.sparkContext.broadcast([leaf for leaf in leaves if leaf[1]])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            x = batch[features].to_numpy(dtype=float)
-            total = np.zeros(x.shape)
-            for leaf in shipped.value:
-                total[:, leaf[1]] += _leaf_contributions(leaf, x)
-            yield pd.DataFrame({
-                key: np.repeat(batch[key].to_numpy(), len(features)),
-                "feature": np.tile(np.array(features, dtype=object), len(batch)),
-                "value": x.ravel(),
-                "contribution": total.ravel(),
-            })
-
-    kind = matrix.schema[key].dataType.simpleString()
-    return matrix.select(key, *[num(c).alias(c) for c in features]).mapInPandas(
-        run, f"{key} {kind}, feature string, value double, contribution double"
-    )
+    """Path-dependent attributions of a tree ensemble, one row for each player and feature; base + sum = model output."""
+    return tree_attributions(matrix, features, model, key).select(key, F.inline(cells(features)))
 
 
 def contributions(

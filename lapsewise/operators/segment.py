@@ -1,9 +1,17 @@
-"""K-Means segments: fit, quality, naming, projection."""
+"""K-Means segments: fit, quality, naming, projection.
 
+All starts of a fit, for one number of clusters or several, advance together: an iteration is one pass over the
+rows that sums them up by the nearest centre of each start, and only those sums reach the driver. A start drops
+out when its centres stay; the passes are as many as the slowest start needs.
+"""
+
+import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
@@ -18,6 +26,37 @@ from lapsewise.operators.ranks import seeded_sample
 from lapsewise.sources.tables import available
 from lapsewise.sources.workspace import materialise
 
+# helpers of this module travel with the job; executors do not need the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Rows, those with the smallest hash, from which k-means++ draws the first centres; all rows take part from then on.
+START_ROWS = 4096
+#: A start stops when no centre moves farther.
+STAYS = 1e-4
+#: Rows compared with the centres at once.
+TOGETHER = 2048
+
+
+@dataclass
+class Centres:
+    """The centres of one start, the summed squared distance to the nearest one, and the passes that it took."""
+
+    centres: np.ndarray
+    cost: float
+    passes: int
+
+    def clusterCenters(self) -> list[np.ndarray]:  # noqa: N802 (named as the library's models do)
+        return list(self.centres)
+
+    def save(self, spark, path: str) -> None:
+        rows = [(i, [float(x) for x in c], float(self.cost), self.passes) for i, c in enumerate(self.centres)]
+        spark.createDataFrame(rows, "cluster_id int, centre array<double>, cost double, passes int").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> "Centres":
+        rows = spark.read.parquet(path).orderBy("cluster_id").collect()
+        return cls(np.array([r["centre"] for r in rows]), rows[0]["cost"], rows[0]["passes"])
+
 
 @dataclass
 class Segmenter:
@@ -26,7 +65,7 @@ class Segmenter:
     features: list[str]
     medians: dict[str, float]
     scales: dict[str, tuple[float, float]]
-    model: KMeansModel | None = None
+    model: Centres | None = None
     names: dict[int, str] | None = None
 
     @classmethod
@@ -48,7 +87,7 @@ class Segmenter:
         return with_constant_map(assigned, "cluster_id", self.names, "segment")
 
     def save(self, spark, path: str) -> str:
-        self.model.write().overwrite().save(f"{path}/model")
+        self.model.save(spark, f"{path}/model")
         rows = [(i, c, self.medians.get(c), *self.scales.get(c, (None, None))) for i, c in enumerate(self.features)]
         spark.createDataFrame(rows, "place int, feature string, median double, mean double, deviation double").coalesce(1).write.mode(
             "overwrite"
@@ -63,7 +102,7 @@ class Segmenter:
             [r["feature"] for r in rows],
             {r["feature"]: r["median"] for r in rows if r["median"] is not None},
             {r["feature"]: (r["mean"], r["deviation"]) for r in rows if r["mean"] is not None},
-            KMeansModel.load(f"{path}/model"),
+            Centres.load(spark, f"{path}/model"),
             {r["cluster_id"]: r["segment"] for r in spark.read.parquet(f"{path}/names").collect()},
         )
 
@@ -74,28 +113,89 @@ def cluster_matrix(df: DataFrame, columns: list[str] = K.CLUSTER_FEATURES, keep:
     return fitted.matrix(df, list(keep)), fitted.features
 
 
-def fit_kmeans(
-    matrix: DataFrame, features: list[str], k: int = 4, restarts: int = 20, max_iter: int = 500, seed: int = 42
-) -> KMeansModel:
+def first_centres(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k-means++: each further centre is a row drawn by its squared distance to the nearest one; fewer if rows are equal."""
+    rng = np.random.default_rng(seed)
+    centres = [sample[rng.integers(len(sample))]]
+    away = ((sample - centres[0]) ** 2).sum(1)
+    while len(centres) < k and away.sum() > 0:
+        centres.append(sample[rng.choice(len(sample), p=away / away.sum())])
+        away = np.minimum(away, ((sample - centres[-1]) ** 2).sum(1))
+    return np.array(centres)
+
+
+def nearest_sums(starts: list[np.ndarray], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each centre of each start, numbered through: how many rows are nearest to it, their sums and their squared distances."""
+    centres = np.concatenate(starts)
+    edge = np.cumsum([0, *map(len, starts)])
+    n, sums, cost = np.zeros(len(centres), np.int64), np.zeros(centres.shape), np.zeros(len(centres))
+    norms = (centres**2).sum(1)
+    for batch in batches:
+        rows = np.array(batch["x"].tolist(), float)
+        for at in range(0, len(rows), TOGETHER):
+            x = rows[at : at + TOGETHER]
+            away = norms - 2 * x @ centres.T + (x**2).sum(1)[:, None]
+            for low, high in zip(edge, edge[1:]):
+                near = away[:, low:high].argmin(1)
+                own = np.zeros((len(x), high - low))
+                own[np.arange(len(x)), near] = 1
+                n[low:high] += own.sum(0).astype(np.int64)
+                sums[low:high] += own.T @ x
+                cost[low:high] += own.T @ np.maximum(away[np.arange(len(x)), low + near], 0)
+    yield pd.DataFrame({"centre": np.arange(len(centres)), "n": n, "sums": list(sums), "cost": cost})
+
+
+def fit_starts(
+    matrix: DataFrame, features: list[str], ks: list[int], restarts: int = 20, max_iter: int = 500, seed: int = 42
+) -> dict[int, Centres]:
+    """For each k the best of several seeded starts, by cost; the first one on ties.
+
+    The driver holds the centres of all starts and, once, START_ROWS rows. The matrix has no nulls.
+    """
+    rows = materialise(matrix.select(F.array(*[num(c) for c in features]).alias("x")), "points")
+    sample = np.array([r["x"] for r in rows.orderBy(F.xxhash64("x"), "x").limit(START_ROWS).collect()])
+    if not len(sample):
+        raise ValueError("no rows to cluster")
+    now = {(k, turn): first_centres(sample, k, seed + turn) for k in ks for turn in range(restarts)}
+    done: dict[tuple, Centres] = {}
+    passes = 0
+    while now:
+        passes += 1
+        names, starts = list(now), list(now.values())
+
+        def sums(batches: Iterator[pd.DataFrame], starts=starts) -> Iterator[pd.DataFrame]:
+            return nearest_sums(starts, batches)
+
+        each = rows.mapInPandas(sums, "centre int, n long, sums array<double>, cost double")
+        total = each.groupBy("centre").agg(
+            F.sum("n").alias("n"), F.array(*[F.sum(F.col("sums")[i]) for i in range(len(features))]).alias("sums"), F.sum("cost").alias("cost")
+        )
+        found = {r["centre"]: r for r in total.collect()}
+        at = 0
+        for name, centres in zip(names, starts):
+            own = [found[at + i] for i in range(len(centres))]
+            at += len(centres)
+            moved = np.array([np.array(r["sums"]) / r["n"] if r["n"] else c for r, c in zip(own, centres)])
+            if passes >= max_iter or ((moved - centres) ** 2).sum(1).max() <= STAYS**2:
+                done[name] = Centres(centres, sum(r["cost"] for r in own), passes)
+                del now[name]
+            else:
+                now[name] = moved
+    return {k: min((done[k, turn] for turn in range(restarts)), key=lambda m: m.cost) for k in ks}
+
+
+def fit_kmeans(matrix: DataFrame, features: list[str], k: int = 4, restarts: int = 20, max_iter: int = 500, seed: int = 42) -> Centres:
     """Best of several seeded starts by within-cluster cost."""
-    ready = assemble(matrix, features).select("features").persist()
-    try:
-        best = None
-        for turn in range(restarts):
-            model = KMeans(k=k, initMode="k-means||", maxIter=max_iter, seed=seed + turn).fit(ready)
-            if best is None or model.summary.trainingCost < best.summary.trainingCost:
-                best = model
-        return best
-    finally:
-        ready.unpersist()
+    return fit_starts(matrix, features, [k], restarts, max_iter, seed)[k]
 
 
-def assign(matrix: DataFrame, features: list[str], model: KMeansModel) -> DataFrame:
-    """Matrix with cluster_id."""
-    return model.setPredictionCol("cluster_id").transform(assemble(matrix, features)).drop("features")
+def assign(matrix: DataFrame, features: list[str], model: Centres) -> DataFrame:
+    """Matrix with cluster_id: the nearest centre, the smallest id on ties."""
+    away = F.array(*[sum((num(c) - F.lit(float(x))) ** 2 for c, x in zip(features, centre)) for centre in model.centres])
+    return matrix.withColumn("cluster_id", (F.array_position(away, F.array_min(away)) - 1).cast("int"))
 
 
-def centroid_table(model: KMeansModel, spark, features: list[str]) -> DataFrame:
+def centroid_table(model: Centres, spark, features: list[str]) -> DataFrame:
     """(cluster_id, features...): k rows."""
     rows = [(i, *[float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return spark.createDataFrame(rows, ", ".join(["cluster_id int", *[f"`{f}` double" for f in features]]))
@@ -141,7 +241,7 @@ def fit_segmenter(df: DataFrame, k: int = 4, restarts: int = 20, max_iter: int =
 
 def segment_players(
     df: DataFrame, k: int = 4, restarts: int = 20, max_iter: int = 500, seed: int = 42
-) -> tuple[DataFrame, KMeansModel, list[str]]:
+) -> tuple[DataFrame, Centres, list[str]]:
     """The whole step: matrix, fit, assignment, names."""
     fitted = fit_segmenter(df, k, restarts, max_iter, seed)
     return df.join(fitted.segments(df), K.ID), fitted.model, fitted.features
@@ -154,10 +254,8 @@ def scan_k(
 
     The scan reports the best k; segmentation itself keeps k = 4.
     """
-    rows = []
-    for k in ks:
-        model = fit_kmeans(matrix, features, k, restarts, seed=seed)
-        rows.append((k, float(model.summary.trainingCost), squared_silhouette(assign(matrix, features, model), features)))
+    models = fit_starts(matrix, features, list(ks), restarts, seed=seed)
+    rows = [(k, float(m.cost), squared_silhouette(assign(matrix, features, m), features)) for k, m in models.items()]
     best = max(rows, key=lambda r: (r[2], -r[0]))[0]
     return matrix.sparkSession.createDataFrame(
         [(*r, r[0] == best) for r in rows], "k int, inertia double, silhouette double, best boolean"

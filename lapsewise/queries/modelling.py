@@ -1,5 +1,6 @@
 """Resampling, training, tuning, attribution and scoring with fitted models (rows checked by tests)."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lapsewise import constants as K
@@ -9,6 +10,7 @@ from lapsewise.operators import scoring as V
 from lapsewise.operators.clean import assemble
 from lapsewise.operators.resample import smote
 from lapsewise.operators.split import class_distribution, with_class_weight, with_folds
+from lapsewise.operators.tree_paths import base_value, top_reasons, tree_attributions, tree_paths, waterfall
 from lapsewise.plans import stages
 from lapsewise.queries.base import PLAYERS, enriched, players, query, with_
 from lapsewise.queries.scoring import records
@@ -78,6 +80,38 @@ def tree_risk_table(spark, sf_dir):
     return stages.explain_risk(bundle, m.part("test"), players(spark, sf_dir))[1]
 
 
+def _explained(spark, sf_dir):
+    """Matrix, bundle, base value and attributions of a fixed small ensemble."""
+    m, bundle = _boosted_bundle(spark, sf_dir, {"BoostedTreesDepth": BOOSTED})
+    paths = tree_paths(spark, bundle.model, len(bundle.features))
+    return m, bundle, base_value(paths), tree_attributions(m.table, bundle.features, bundle.model, paths=paths)
+
+
+@query("tree_additivity", with_(PLAYERS, "SELECT count(*) AS players, count(*) AS additive FROM p"))
+def tree_additivity(spark, sf_dir):
+    """Players whose base value and contributions add up to the model's margin."""
+    m, bundle, base, found = _explained(spark, sf_dir)
+    margin = bundle.model.transform(assemble(m.table, bundle.features)).select(K.ID, vector_to_array("rawPrediction")[1].alias("margin"))
+    added = F.aggregate("contributions", F.lit(base), lambda a, x: a + x)
+    both = found.select(K.ID, added.alias("added")).join(margin, K.ID)
+    return both.agg(F.count("*").alias("players"), F.count_if(F.abs(F.col("added") - F.col("margin")) < 1e-9).alias("additive"))
+
+
+@query("tree_top_reasons")
+def tree_top_reasons(spark, sf_dir):
+    """The three largest contributions of every player, from one array each."""
+    _, bundle, _, found = _explained(spark, sf_dir)
+    return top_reasons(found, bundle.features).select(K.ID, F.concat_ws(",", "reasons.feature").alias("reasons"))
+
+
+@query("tree_waterfall")
+def tree_waterfall(spark, sf_dir):
+    """Base value and ordered contributions of the player with the highest probability."""
+    m, bundle, base, found = _explained(spark, sf_dir)
+    first = G.top_risk(M.score(bundle.model, assemble(m.table, bundle.features)).select(K.ID, "churn_prob"), 1)
+    return waterfall(found.join(F.broadcast(first.select(K.ID)), K.ID, "left_semi"), bundle.features, base)
+
+
 @query("score_saved_bundle")
 def score_saved_bundle(spark, sf_dir):
     m, bundle = _boosted_bundle(spark, sf_dir, {"BoostedTreesDepth": BOOSTED})

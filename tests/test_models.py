@@ -14,6 +14,7 @@ from lapsewise import constants as K
 from lapsewise.operators import explain as G
 from lapsewise.operators import models as M
 from lapsewise.operators import scoring as V
+from lapsewise.operators import tree_paths as T
 from lapsewise.operators.clean import assemble
 from lapsewise.operators.neighbours import nearest_neighbours
 from lapsewise.operators.resample import smote
@@ -131,6 +132,42 @@ def test_search_draws_within_ranges_and_repeats(spark):
                 assert kind == "share" or low <= float(value) <= high or p == "maxDepth"
 
 
+def test_rungs_narrow_down():
+    assert M.rungs(30, 5) == [(30, pytest.approx(1 / 9), 1), (10, pytest.approx(1 / 3), 2), (4, 1.0, 5)]
+    assert M.rungs(3, 5) == [(3, 1.0, 5)] and M.rungs(1, 2) == [(1, 1.0, 2)]
+    assert [r[2] for r in M.rungs(30, 1)] == [1, 1, 1] and M.rungs(4, 2)[-1] == (2, 1.0, 2)
+
+
+@pytest.fixture(scope="module")
+def folded(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(240, 3))
+    y = (x[:, 0] + rng.normal(0, 0.5, 240) > 0).astype(int)
+    rows = [(int(t), 1.0, i % 3, *map(float, v)) for i, (v, t) in enumerate(zip(x, y))]
+    return assemble(spark.createDataFrame(rows, "churn_label int, weight double, fold int, a double, b double, c double"), ["a", "b", "c"]).cache()
+
+
+SMALL = {"maxIter": ("int", 6, 24), "maxDepth": ("int", 1, 2), "stepSize": ("log", 0.1, 0.3)}
+
+
+def test_search_by_rungs(folded):
+    best, table = M.random_search(folded, "BoostedTreesDepth", trials=9, folds=3, space=SMALL)
+    rows = table.collect()
+    assert [r.rung for r in rows].count(None) == 0 and len(rows) == 9
+    last = max(r.rung for r in rows)
+    final = [r for r in rows if r.rung == last]
+    assert len(final) == M.rungs(9, 3)[-1][0] and all(r.folds == 3 for r in final)
+    (won,) = [r for r in rows if r.chosen]
+    assert won.cv_auc == max(r.cv_auc for r in final) > 0.8 and best["maxIter"] == won.trees <= 24
+
+
+def test_search_without_time_still_finishes_its_leader(folded):
+    best, table = M.random_search(folded, "BoostedTreesDepth", trials=9, folds=3, space=SMALL, seconds=0.0)
+    rows = table.collect()
+    assert [r.chosen for r in rows] == [True] + [False] * 8 and rows[0].folds == 3
+    assert {r.rung for r in rows[1:]} == {None} and best["maxIter"] == rows[0].trees
+
+
 def brute_shapley(predict, x, covers):
     """Shapley values of one row for a value function given on feature subsets."""
     d = len(x)
@@ -170,7 +207,8 @@ def test_tree_attributions_match_brute_force(spark, kind):
     params = {"maxIter": 3, "maxDepth": 4} if kind == "BoostedTreesDepth" else {"numTrees": 3, "maxDepth": 4}
     model = M.estimator(kind, 300, **params).fit(ready)
     got = G.tree_contributions(df, names, model).toPandas().pivot(index="player_id", columns="feature", values="contribution")[names]
-    _, base = G.ensemble_leaves(model)
+    paths = T.tree_paths(spark, model, 4)
+    base = T.base_value(paths)
     if kind == "RandomForest":
         target = M.score(model, ready).select("player_id", F.col("churn_prob").alias("t"))
     else:  # the probability is 1 / (1 + exp(-2 margin))
@@ -189,6 +227,29 @@ def test_tree_attributions_match_brute_force(spark, kind):
         assert np.allclose(got.loc[f"p{i}"].to_numpy(), want, atol=1e-9)
 
 
+def test_attributions_in_several_passes_and_as_arrays(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(200, 3)).round(2)
+    names = ["a", "b", "c"]
+    df = spark.createDataFrame([(f"p{i}", int(v[0] + v[1] * v[2] > 0), *map(float, v)) for i, v in enumerate(x)], "player_id string, churn_label int, a double, b double, c double")
+    model = M.boosted(maxIter=4, maxDepth=3).fit(assemble(df, names).withColumn("weight", F.lit(1.0)))
+    paths = T.tree_paths(spark, model, 3)
+    whole = {r.player_id: r.contributions for r in T.tree_attributions(df, names, model, paths=paths).collect()}
+    monkeypatch.setattr(T, "SENT", 500)
+    monkeypatch.setattr(T, "CELLS", 7)
+    again = T.tree_attributions(df, names, model)
+    assert all(np.allclose(whole[r.player_id], r.contributions, atol=1e-12) for r in again.collect())
+    for r in T.top_reasons(again, names, 2).collect():
+        order = sorted(range(3), key=lambda i: -abs(whole[r.player_id][i]))[:2]
+        assert [c.feature for c in r.reasons] == [names[i] for i in order]
+    fall = T.waterfall(again, names, 0.5, 2).toPandas()
+    assert (fall.groupby("player_id").size() == 2).all() and set(fall[fall.place == 2].feature) == {"other features"}
+    sums = fall.groupby("player_id").contribution.sum()
+    assert all(abs(sums[p] - sum(v)) < 1e-12 for p, v in whole.items()) and (fall.base_value == 0.5).all()
+    plan = T.waterfall(again, names, 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_linear_attributions_add_up(spark, trained):
     m, fitted = trained
     model = fitted.models["LogisticRegression"]

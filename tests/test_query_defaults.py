@@ -62,5 +62,5 @@ def test_search_is_whole(spark, sf_dir, monkeypatch, matrices):
 )
 def test_clusters_have_all_restarts(spark, sf_dir, monkeypatch, featured, query, restarts):
     monkeypatch.setattr(segments, "featured", lambda *_: featured)
-    call = asked(monkeypatch, S, "fit_kmeans", getattr(segments, query), spark, sf_dir)
+    call = asked(monkeypatch, S, "fit_starts", getattr(segments, query), spark, sf_dir)
     assert (call["restarts"], call["max_iter"]) == (restarts, 500)

@@ -31,6 +31,36 @@ def test_kmeans_finds_the_blobs(blobs):
     assert scan[2]["inertia"] > scan[4]["inertia"]
 
 
+def plain_lloyd(x, centres, max_iter=500):
+    for _ in range(max_iter):
+        near = ((x[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+        moved = np.array([x[near == i].mean(0) if (near == i).any() else c for i, c in enumerate(centres)])
+        if ((moved - centres) ** 2).sum(1).max() <= S.STAYS**2:
+            break
+        centres = moved
+    return centres, ((x[:, None] - centres[None]) ** 2).sum(2).min(1).sum()
+
+
+def test_starts_together_equal_plain_loops(spark, blobs):
+    """Every start, advanced with the others, ends where it would end alone; the cheapest one wins."""
+    x, df = blobs
+    names, ks = ["a", "b"], [2, 3, 5]
+    got = S.fit_starts(df.repartition(3), names, ks, restarts=4, seed=7)
+    sample = np.array([r.x for r in df.select(F.array(*names).alias("x")).orderBy(F.xxhash64("x"), "x").collect()])
+    for k in ks:
+        alone = [plain_lloyd(x, S.first_centres(sample, k, 7 + turn)) for turn in range(4)]
+        centres, cost = min(alone, key=lambda r: r[1])
+        assert got[k].cost == pytest.approx(cost) and np.allclose(sorted(map(tuple, got[k].centres)), sorted(map(tuple, centres)), atol=1e-9)
+
+
+def test_equal_rows_give_fewer_centres(spark):
+    df = spark.createDataFrame([(f"p{i}", float(i % 2), 1.0) for i in range(20)], "player_id string, a double, b double")
+    model = S.fit_kmeans(df, ["a", "b"], 4, restarts=2)
+    assert sorted(map(tuple, model.centres)) == [(0.0, 1.0), (1.0, 1.0)] and model.cost == 0
+    with pytest.raises(ValueError):
+        S.fit_kmeans(df.limit(0), ["a", "b"])
+
+
 def brute_silhouette(x, labels):
     out = []
     for i in range(len(x)):
