@@ -1,11 +1,15 @@
 """Time the headline queries and print one JSON line.
 
 Every query starts from the raw Parquet tables; nothing is kept between queries. The first run of
-a small query, which pays for JVM start and code generation, is not counted.
+a small query, which pays for JVM start and code generation, is not counted. Each query's seconds go to
+standard error as it ends. After BENCH_LIMIT seconds, or when asked to end, the line is printed with
+the queries that have finished; the others are named in it.
 """
 
 import json
 import os
+import signal
+import sys
 import time
 
 from pyspark.sql import SparkSession
@@ -45,10 +49,21 @@ HEADLINE = [
     "stream_daily_counts",
     "smote_rows",
     "kmeans_segment_profile",
+    "kmeans_scan",
+    "tree_waterfall",
     "tree_contributions",
+    "model_comparison",
 ]
 
 
+class Ended(Exception):
+    """The time is up."""
+
+
+def end(*_) -> None:
+    raise Ended
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -66,17 +81,26 @@ def main() -> None:
     run = callables()
     run["churn_overview"](spark, sf_dir).collect()
     seconds = {}
-    for name in HEADLINE:
-        start = time.perf_counter()
-        run[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
+    for sign in (signal.SIGTERM, signal.SIGALRM):
+        signal.signal(sign, end)
+    signal.alarm(int(os.environ.get("BENCH_LIMIT", "1500")))
+    try:
+        for name in HEADLINE:
+            start = time.perf_counter()
+            run[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            seconds[name] = round(time.perf_counter() - start, 3)
+            print(name, seconds[name], file=sys.stderr, flush=True)
+    except Ended:
+        pass
+    signal.alarm(0)
     print(json.dumps({
         "metric": "headline_queries_total",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
+        "unfinished": [name for name in HEADLINE if name not in seconds],
         "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
-    }))
+    }), flush=True)
     release(spark)
     spark.stop()
 

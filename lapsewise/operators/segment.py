@@ -158,6 +158,7 @@ def fit_starts(
         raise ValueError("no rows to cluster")
     now = {(k, turn): first_centres(sample, k, seed + turn) for k in ks for turn in range(restarts)}
     done: dict[tuple, Centres] = {}
+    added = F.expr(f"array({', '.join(f'sum(sums[{i}])' for i in range(len(features)))})").alias("sums")
     passes = 0
     while now:
         passes += 1
@@ -167,9 +168,7 @@ def fit_starts(
             return nearest_sums(starts, batches)
 
         each = rows.mapInPandas(sums, "centre int, n long, sums array<double>, cost double")
-        total = each.groupBy("centre").agg(
-            F.sum("n").alias("n"), F.array(*[F.sum(F.col("sums")[i]) for i in range(len(features))]).alias("sums"), F.sum("cost").alias("cost")
-        )
+        total = each.groupBy("centre").agg(F.sum("n").alias("n"), added, F.sum("cost").alias("cost"))
         found = {r["centre"]: r for r in total.collect()}
         at = 0
         for name, centres in zip(names, starts):
