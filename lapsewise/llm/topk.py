@@ -13,9 +13,11 @@ Queries go out in blocks of bounded size, one job for each block, and meet every
 returns k rows for each query, and a window over those keeps the best. Ties go to the smaller id.
 
 Vectors that are null or hold null or non-finite components take no part. Vectors of different
-lengths are never compared. A query's own id is no candidate; ids that repeat with other vectors
-are ranked as separate rows, and repeated query ids are one query each. A null id is a candidate,
-placed last among ties, but no query. Fewer candidates give fewer rows, an empty table gives none.
+lengths are never compared. Rows are told apart by a stored number, not by their ids: a query's own
+row is no candidate, but another row with its id is, and every query row has k results of its own,
+so ids or whole rows that repeat give as many sets of results. A null id is a candidate, placed last
+among ties, but no query. Fewer candidates give fewer rows, an empty table gives none. Extra columns
+are not read.
 """
 
 import sys
@@ -68,17 +70,16 @@ def levels(rows) -> list:
 class Best:
     """The k best candidates of each query so far."""
 
-    def __init__(self, ids, rows, k: int):
-        self.ids, self.rows, self.k, self.levels = ids, rows, k, levels(rows)
+    def __init__(self, numbers, ids, rows, k: int):
+        self.numbers, self.ids, self.rows, self.k, self.levels = numbers, ids, rows, k, levels(rows)
         self.score = np.full((len(ids), k), -np.inf)
         self.who = np.zeros((len(ids), k), np.int64)
         self.late = np.ones((len(ids), k), bool)  # without an id, or no candidate at all
 
-    def offer(self, ids, without, rows) -> None:
+    def offer(self, numbers, ids, without, rows) -> None:
         """Candidates; ``without`` marks those that have no id."""
         floor = self.score[:, -1]
-        alive = np.ones((len(self.ids), len(ids)), bool)
-        alive &= (self.ids[:, None] != ids[None, :]) | without[None, :]
+        alive = self.numbers[:, None] != numbers[None, :]
         for mine, theirs in zip(self.levels, levels(rows)):
             # an equal score can still win by its id
             queries = np.flatnonzero(alive.any(1))
@@ -97,34 +98,32 @@ class Best:
 
     def table(self):
         found = np.isfinite(self.score)
-        query = np.repeat(self.ids, self.k)[found.ravel()]
+        number, query = (np.repeat(x, self.k)[found.ravel()] for x in (self.numbers, self.ids))
         return pa.RecordBatch.from_arrays(
-            [pa.array(query), pa.array(self.who[found], mask=self.late[found]), pa.array(self.score[found].astype(np.int64))],
-            names=["query_id", "vec_id", "score"],
+            [pa.array(number), pa.array(query), pa.array(self.who[found], mask=self.late[found]), pa.array(self.score[found].astype(np.int64))],
+            names=["query_row", "query_id", "vec_id", "score"],
         )
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id and score of each query's k best candidates; is_query may use vec_id."""
-    rows = materialise(quantised(vectors, vec_id, embedding), "vectors")
-    queries = materialise(
-        rows.where(is_query & F.col("vec_id").isNotNull()).withColumn("_n", F.size("q")).groupBy("vec_id", "q", "_n").count().drop("count"), "queries"
-    )
-    # blocks of one vector length each, cut by ranges of the id
+    """query_id, rank, vec_id and score of each query row's k best candidates; is_query may use vec_id."""
+    rows = materialise(quantised(vectors, vec_id, embedding).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    queries = materialise(rows.where(is_query & F.col("vec_id").isNotNull()).withColumn("_n", F.size("q")), "queries")
+    # blocks of one vector length each, cut by a hash of the row's number
     sizes = queries.groupBy("_n").agg(F.count("*").alias("m")).collect()
     found = [_search_block(rows, queries, size["_n"], part, parts, k)
              for size in sizes for parts in [-(-size["m"] * max(size["_n"], 1) // BLOCK_NUMBERS)] for part in range(parts)]
     if not found:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
+    best = W.partitionBy("query_row").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
     ranked = reduce(DataFrame.union, found).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def _search_block(rows: DataFrame, queries: DataFrame, n: int, part: int, parts: int, k: int) -> DataFrame:
-    mine = queries.where((F.col("_n") == n) & (F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == part)).select("vec_id", "q").toPandas()
-    ids = mine["vec_id"].to_numpy(np.int64)
-    block = rows.sparkSession.sparkContext.broadcast((ids, np.array(mine["q"].tolist(), np.float64).reshape(len(ids), n)))
+    mine = queries.where((F.col("_n") == n) & (F.pmod(F.xxhash64("row"), F.lit(parts)) == part)).select("row", "vec_id", "q").toPandas()
+    numbers, ids = (mine[c].to_numpy(np.int64) for c in ("row", "vec_id"))
+    block = rows.sparkSession.sparkContext.broadcast((numbers, ids, np.array(mine["q"].tolist(), np.float64).reshape(len(ids), n)))
 
     def scan(batches):
         best = Best(*block.value, k)
@@ -135,10 +134,11 @@ def _search_block(rows: DataFrame, queries: DataFrame, n: int, part: int, parts:
                 known = piece.column("vec_id")
                 ids = np.asarray(known.fill_null(0), np.int64)
                 without = np.asarray(known.is_null())
-                best.offer(ids, without, np.asarray(piece.column("q").flatten(), np.float64).reshape(len(piece), n))
+                best.offer(np.asarray(piece.column("row"), np.int64), ids, without, np.asarray(piece.column("q").flatten(), np.float64).reshape(len(piece), n))
         yield best.table()
 
     # stored, so that the job of each block runs once
-    return materialise(
-        rows.where(F.size("q") == n).mapInArrow(scan, "query_id long, vec_id long, score long"), "nearest"
-    )
+    schema = "query_row long, query_id long, vec_id long, score long"
+    found = materialise(rows.where(F.size("q") == n).mapInArrow(scan, schema), "nearest")
+    block.destroy()
+    return found
