@@ -1,13 +1,14 @@
 """Packing pieces of documents into sequences of one capacity.
 
-First-fit decreasing in randomised groups: a hash of each piece's key picks its group, the pieces
-of a group arrive longest first, and a tournament tree over the free room of the group's open
+First-fit decreasing in randomised groups: a hash of each piece's key and of its number in the stored
+table picks its group, so pieces that are all alike spread as well; the pieces of a group arrive longest first, and a tournament tree over the free room of the group's open
 sequences finds the first one with room in logarithmic time. Pieces stream through a task; what a
 task holds is the tree of one group. Groups are independent, so their number follows the number
 of pieces and a lost one is packed again with the same result.
 
 A null text counts as empty. Repeated rows are pieces of their own; equal pieces are
-interchangeable. A null key is a key like any other. An empty table gives an empty table.
+interchangeable. A null key is a key like any other. An empty table gives an empty table. A very long
+text is many pieces of the capacity, packed like others. Documents' other columns are not carried.
 """
 
 import math
@@ -87,12 +88,12 @@ def cut(df: DataFrame, ids: str, capacity: int, *keep: str) -> DataFrame:
 
 def place(pieces: DataFrame, key: list[str], capacity: int, length: str = "length", group_pieces: int = GROUP_PIECES) -> DataFrame:
     """Adds sequence_id and offset to pieces of 1 to ``capacity`` ids; the pieces are written once."""
-    stored = materialise(pieces, "pieces")
+    stored = materialise(pieces.withColumn("_number", F.monotonically_increasing_id()), "pieces")
     groups = max(1, math.ceil(stored.count() / group_pieces))
-    dealt = stored.withColumn("_group", F.pmod(F.xxhash64(F.lit(17), *key), F.lit(groups)))
+    dealt = stored.withColumn("_group", F.pmod(F.xxhash64(F.lit(17), "_number", *key), F.lit(groups))).drop("_number")
     parts = min(groups, 4 * int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = dealt.repartition(parts, "_group").sortWithinPartitions("_group", F.desc(length), *key)
-    schema = T.StructType([*stored.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def first_fit(batches):
         group, tree = None, None

@@ -2,9 +2,10 @@
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import Row
 from tokenizers import Tokenizer as Library
 
 from lapsewise.llm import packing
@@ -74,6 +75,15 @@ def test_groups_are_independent_and_repeatable(spark):
     assert first == again and len({s >> 32 for s, _ in first.values()}) == 30
 
 
+def test_equal_pieces_spread(spark):
+    """Nine of ten rows are one piece without a key: they fill many groups, none much above its size."""
+    pieces = spark.range(20000).selectExpr("CASE WHEN id % 10 = 0 THEN id END AS id", "IF(id % 10 = 0, 1 + id % 90, 7) AS length")
+    rows = packing.place(pieces, ["id"], 100, group_pieces=200).collect()
+    assert check([Row(doc_id=r.id, start=0, length=r.length, sequence_id=r.sequence_id, offset=r.offset) for r in rows], {}, 100) > 0
+    sizes = Counter(r.sequence_id >> 32 for r in rows)
+    assert len(rows) == 20000 and len(sizes) == 100 and max(sizes.values()) < 400
+
+
 def test_sequences(spark, no_documents):
     pieces = spark.createDataFrame([(7, 4, 8, bytes(8), 2), (7, 0, 3, b"abcd" * 4, 4)], "sequence_id long, offset long, x int, ids binary, length long")
     assert [tuple(r) for r in packing.sequences(pieces).collect()] == [(7, b"abcd" * 4 + bytes(8), 6)]
