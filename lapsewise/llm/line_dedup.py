@@ -8,12 +8,14 @@ line has an earlier copy that stays. A window is known by two 64-bit hashes.
 
 Texts of fewer than three such lines have no window and stay, null and empty ones among them. A
 text that consists of repeated passages becomes empty; no row is dropped. Rows with equal doc_id and
-text count as one document and stay equal; a null doc_id comes last. Extra columns pass through.
+text count as one document and stay equal; a null doc_id comes last. Extra columns pass through, but
+for one that has the name of the count of removed lines: the count takes its place.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapsewise.operators.joins import HOT_ROWS
 from lapsewise.sources.workspace import materialise
 
 LINES = 3
@@ -44,17 +46,27 @@ def windows(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.where(n >= LINES).select("doc_id", "_text", F.inline(found))
 
 
-def repeated(found: DataFrame) -> DataFrame:
-    """The places of windows that occur earlier as well."""
+def repeated(found: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The places of windows that occur earlier as well.
+
+    The places of a window that occurs more than ``hot_rows`` times are spread over several tasks. There
+    are at most places / hot_rows such windows, so their list is broadcast.
+    """
     at = F.struct(F.col("doc_id").isNull(), "doc_id", "_text", "first")
-    first = found.groupBy("a", "b").agg(F.min(at).alias("_at"), F.max(at).alias("_end")).where("_at < _end").drop("_end")
-    return found.join(first, ["a", "b"]).where(at > F.col("_at")).select("doc_id", "_text", "first", "last")
+    parts = F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("bigint")
+    first = found.groupBy("a", "b").agg(F.min(at).alias("_at"), F.max(at).alias("_end"), F.count("*").alias("_n"))
+    first = materialise(first.where("_at < _end").drop("_end"), "first_places")
+    hot = first.where(F.col("_n") > hot_rows).select("a", "b", parts.alias("_parts"))
+    salt = F.coalesce(F.pmod(F.xxhash64("doc_id", "_text", "first"), F.col("_parts")), F.lit(0).cast("bigint"))
+    dealt = found.join(F.broadcast(hot), ["a", "b"], "left").withColumn("_salt", salt)
+    known = first.select("a", "b", "_at", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("_salt"))
+    return dealt.join(known, ["a", "b", "_salt"]).where(at > F.col("_at")).select("doc_id", "_text", "first", "last")
 
 
-def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with shortened texts, and n_removed: how many lines went."""
+def without_repeats(docs: DataFrame, text: str = "text", removed: str = "n_removed", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The rows with shortened texts, and a last column ``removed``: how many lines went."""
     found = materialise(windows(docs, text), "windows")
-    gone = repeated(found).groupBy("doc_id", "_text").agg(
+    gone = repeated(found, hot_rows).groupBy("doc_id", "_text").agg(
         F.array_distinct(F.flatten(F.collect_set(F.sequence("first", "last")))).alias("_gone")
     ).withColumnRenamed("doc_id", "_id")
     # the row travels as one struct, so that its columns' names don't matter
@@ -64,5 +76,6 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     both = both.select("_row", "_gone", F.when(F.col("_gone").isNotNull(), F.split(full, "\n")).alias("_lines"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     short = F.array_join(F.transform(kept, lambda i: F.get(F.col("_lines"), i)), "\n")
-    out = [F.when(F.col("_gone").isNull(), full).otherwise(short).alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns]
-    return both.select(*out, F.greatest(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))
+    shortened = F.when(F.col("_gone").isNull(), full).otherwise(short)
+    out = [shortened.alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns if c.lower() != removed.lower()]
+    return both.select(*out, F.greatest(F.size("_gone"), F.lit(0)).cast("long").alias(removed))

@@ -34,3 +34,19 @@ def test_odd_documents(spark, odd_documents, no_documents):
     texts = {r.doc_id: (r.text, r.n_removed) for r in rows if r.doc_id is not None}
     assert texts[1] == ("", 0) and texts[2] == (None, 0) and texts[7] == ("one\n\ntwo\n three\nfour", 0) and texts[8] == ("four", 4)
     assert line_dedup.without_repeats(no_documents).collect() == []
+
+
+def test_hot_window_is_split(spark):
+    """One window in nine of ten texts, over many parts, and the same rows as in one."""
+    rows = [(i, "p\nq\nr" if i % 10 else f"p\nq\nr\n{i}") for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.without_repeats(table, hot_rows=7).collect()}
+    assert got == brute.without_repeats(rows)
+
+
+def test_column_of_the_count_s_name(spark):
+    table = spark.createDataFrame([(1, "a\nb\nc", 9), (2, "a\nb\nc", 9)], "doc_id long, text string, N_removed int")
+    got = line_dedup.without_repeats(table)
+    assert got.columns == ["doc_id", "text", "n_removed"]
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a\nb\nc", 0), (2, "", 3)]
+    assert line_dedup.without_repeats(table, removed="gone").columns == ["doc_id", "text", "N_removed", "gone"]
