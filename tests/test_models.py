@@ -16,7 +16,7 @@ from lapsewise.operators import models as M
 from lapsewise.operators import scoring as V
 from lapsewise.operators import tree_paths as T
 from lapsewise.operators.clean import assemble
-from lapsewise.operators.neighbours import nearest_neighbours
+from lapsewise.operators.neighbours import near_candidates, nearest_neighbours
 from lapsewise.operators.resample import smote
 from lapsewise.operators.split import class_distribution
 from lapsewise.plans import stages
@@ -49,13 +49,57 @@ def test_neighbours_only_for_asked_points(spark):
     assert {r["rep"]: sorted(r["near"]) for r in found.collect()} == {"p0": ["p1", "p2"], "p1": ["p0", "p2"], "p2": ["p1", "p3"]}
 
 
+@pytest.mark.parametrize("spread", [0.0, 1.0])
+def test_candidates_recall_and_cell_size(spark, spread):
+    """Recall against all pairs in many dimensions, over cells of a hundredth of the rows; a dense cluster holds a third."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(6000, 12)) @ rng.normal(size=(12, 20)) * (1 + spread * rng.random((6000, 1)))
+    x[:2000] = x[0] + 1e-3 * rng.normal(size=(2000, 20))
+    df = spark.createDataFrame([(f"p{i:04d}", v.tolist(), i % 10 == 0) for i, v in enumerate(x)], "id string, v array<double>, ask boolean")
+    _, found = near_candidates(df, "id", "v", k=5, asked="ask", cell_rows=512)
+    hits = 0
+    rows = found.collect()
+    assert len(rows) == 600
+    for r in rows:
+        own = int(r["rep"][1:])
+        order = np.argsort(np.linalg.norm(x - x[own], axis=1), kind="stable")[:6]
+        hits += len({int(m[1:]) for m in r["near"]} & {int(i) for i in order if i != own})
+        assert len(r["near"]) == 5 and r["rep"] not in r["near"]
+    assert hits / (5 * len(rows)) >= 0.9, hits / (5 * len(rows))
+
+
+def test_candidates_in_one_cell_are_exact(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 3)).round(1)
+    df = spark.createDataFrame([(f"p{i:03d}", v.tolist()) for i, v in enumerate(x)], "id string, v array<double>")
+    vectors, found = near_candidates(df, "id", "v", k=5)
+    vec = {r["rep"]: np.array(r["v"]) for r in vectors.collect()}
+    for r in found.collect():
+        own = vec[r["rep"]]
+        got = sorted(float(np.linalg.norm(own - vec[m])) for m in r["near"])
+        assert np.allclose(got, sorted(np.linalg.norm(x - own, axis=1))[1:6], atol=1e-9)
+    assert near_candidates(df.limit(0), "id", "v")[1].collect() == []
+
+
+def test_points_that_no_direction_separates(spark, monkeypatch):
+    """Points on one line closer than rounding tells apart in most projections still end in bounded cells."""
+    monkeypatch.setattr("lapsewise.operators.neighbours.DEPTHS", 1)
+    df = spark.range(3000).selectExpr("CAST(id AS string) AS id", "array(1e15 + id % 2, CAST(id AS DOUBLE) * 1e-12) AS v")
+    rows = near_candidates(df, "id", "v", k=3, cell_rows=64)[1].collect()
+    assert len(rows) == 3000 and all(len(r["near"]) == 3 for r in rows)
+
+
 def test_smote_balances_and_stays_between_neighbours(spark):
     rng = np.random.default_rng(8)
     minority = rng.normal(size=(37, 2)).round(3)
     rows = [(f"a{i}", 1, *map(float, v)) for i, v in enumerate(minority)]
     rows += [(f"b{i}", 0, *map(float, v)) for i, v in enumerate(rng.normal(5, 1, size=(100, 2)))]
     df = spark.createDataFrame(rows, "player_id string, churn_label int, x double, y double")
-    out = smote(df, ["x", "y"], min_block=16).toPandas()
+    traced = smote(df, ["x", "y"], min_block=16, trace=True).toPandas()
+    made = traced[traced["synthetic"]]
+    assert len(made) == 63 and made["gap"].between(0, 1).all() and (made["base_key"] != made["near_key"]).all()
+    assert set(made["base_key"]) | set(made["near_key"]) <= {f"a{i}" for i in range(37)} and traced["gap"].notna().sum() == 63
+    out = smote(df, ["x", "y"], min_block=16, exact=True).toPandas()
     assert (out.groupby("churn_label").size() == 100).all()
     assert len(out[~out["synthetic"]]) == 137 and out["player_id"].is_unique
     for _, r in out[out["synthetic"]].iterrows():
