@@ -123,12 +123,18 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None:
-    """The classifier, from at most ``sample`` labelled rows; None without any."""
+    """The classifier, from at most ``sample`` labelled documents, one row of each; None without any.
+
+    A doc_id with several labels has the smallest of them, one with several texts the text of smallest hash.
+    """
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    known = known.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
+    # chosen among the labels that have a document, so that a label without one takes no place
+    held = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).join(held, "doc_id", "left_semi")
+    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    # a doc_id may stand in many rows; the bound holds for them as well
-    texts = texts.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "quality").limit(sample)
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "quality")).alias("one")
+    texts = texts.groupBy("doc_id").agg(one).select("doc_id", "one.text", "one.quality")
 
     @F.pandas_udf("binary")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -137,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None
                 # half precision holds the root of any count below 4 * 10 ** 9, and keeps what the driver gets small
                 yield pd.Series([row.tobytes() for row in np.sqrt(term_counts(part)).astype(np.float16)], dtype=object)
 
-    rows = texts.select("quality", counted("text").alias("roots")).collect()
+    rows = sorted(texts.select("doc_id", "quality", counted("text").alias("roots")).collect(), key=lambda r: r["doc_id"])
     if not rows:
         return None
     roots = np.frombuffer(b"".join(r["roots"] for r in rows), np.float16).reshape(len(rows), TERMS)

@@ -59,7 +59,12 @@ def test_odd_documents(spark, odd_documents, no_documents):
     assert no_documents.select(Q.score(no_documents, model)).collect() == []
 
 
-def test_sample_is_bounded(spark):
-    docs = spark.createDataFrame([(1, f"text {i}") for i in range(300)], "doc_id long, text string")
-    model = Q.fit(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), sample=10)
-    assert len(model["label"]) == 10
+def test_sample_is_of_documents(spark):
+    """Repeated rows and labels of a document take one place, labels without a document none."""
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(300)] + [(i, f"word {i}") for i in range(2, 40)], "doc_id long, text string")
+    labels = [(1, 1)] * 50 + [(1, 0)] + [(i, 1) for i in range(2, 40)] + [(i, 0) for i in range(1000, 1100)]
+    table = spark.createDataFrame(labels, "doc_id long, quality int")
+    usable = [i for i in range(1, 40) if zlib.crc32(str(i).encode()) % 5]
+    model = Q.fit(docs, table, sample=500)
+    assert len(model["label"]) == len(usable) and model["label"].sum() == len(usable) - (1 in usable)
+    assert len(Q.fit(docs, table, sample=10)["label"]) == 10
