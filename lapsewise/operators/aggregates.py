@@ -53,6 +53,63 @@ def kpi_row(df: DataFrame) -> DataFrame:
     )
 
 
+#: The filters of the board, in the order of the bits of ``level``.
+CUBE = ("game_mode", "spend_tier", "status")
+_ADDED = ("players", "labelled", "churned", "spend", "sessions", "with_sessions")
+
+
+def kpi_cube(df: DataFrame) -> DataFrame:
+    """Sums of the headline numbers for each combination of mode, spend tier and status, and over all of each.
+
+    Players are added up once, for the combinations that occur; the cube's levels are built from those few
+    rows. ``level`` has a bit for each column summed over (4 mode, 2 tier, 1 status), which tells a total
+    from a missing value. No players give no rows. Expects churn_risk_level and spend_tier_label.
+    """
+    cells = df.groupBy(
+        F.col(K.MODE).alias("game_mode"), F.col("spend_tier_label").alias("spend_tier"), F.col("churn_risk_level").alias("status")
+    ).agg(
+        F.count(F.lit(1)).alias("players"), F.count(K.LABEL).alias("labelled"), F.sum(F.col(K.LABEL).cast("bigint")).alias("churned"),
+        F.sum(spend_or_zero()).alias("spend"), F.sum(num("session_count")).alias("sessions"), F.count(num("session_count")).alias("with_sessions"),
+    )
+    return cells.cube(*CUBE).agg(F.grouping_id().cast("bigint").alias("level"), *[F.sum(c).alias(c) for c in _ADDED])
+
+
+def cube_cells(cube: DataFrame, by: str | None = None, **chosen) -> DataFrame:
+    """The rows of the cube that make up a selection: {filter column: values}, apart by ``by``, over all of the rest."""
+    level = sum(4 >> i for i, c in enumerate(CUBE) if c != by and chosen.get(c) is None)
+    rows = cube.where(F.col("level") == level)
+    for column, values in chosen.items():
+        rows = rows if values is None else rows.where(F.col(column).isin(list(values)))
+    return rows
+
+
+def kpi_row_from_cube(cube: DataFrame, **chosen) -> DataFrame:
+    """kpi_row of the selected players."""
+    share = F.coalesce(ratio(F.sum("churned"), F.sum("players")), F.lit(0.0))
+    return cube_cells(cube, **chosen).agg(
+        F.coalesce(F.sum("players"), F.lit(0)).alias("total_players"),
+        F.coalesce(F.sum("churned"), F.lit(0)).alias("churned_players"),
+        round_even(share * 100.0, 1).alias("churn_rate_pct"),
+        round_even(ratio(F.sum("spend"), F.sum("players")), 2).alias("avg_spend"),
+        round_even(ratio(F.sum("sessions"), F.sum("with_sessions")), 0).alias("avg_sessions"),
+    )
+
+
+def churn_by_mode_from_cube(cube: DataFrame, **chosen) -> DataFrame:
+    """churn_by_mode of the selected players."""
+    rows = cube_cells(cube, "game_mode", **chosen).where(F.col("game_mode").isNotNull())
+    share = ratio(F.sum("churned"), F.sum("labelled"))
+    return rows.groupBy("game_mode").agg(
+        share.alias("churn_rate"), F.sum("labelled").alias("player_count"), round_even(share * 100.0, 1).alias("churn_pct")
+    )
+
+
+def spend_tier_counts_from_cube(cube: DataFrame, **chosen) -> DataFrame:
+    """spend_tier_counts of the selected players."""
+    rows = cube_cells(cube, "spend_tier", **chosen).where(F.col("spend_tier").isNotNull())
+    return rows.groupBy(F.col("spend_tier").alias("tier")).agg(F.sum("players").alias("players"))
+
+
 def churn_by_mode(df: DataFrame) -> DataFrame:
     return df.where(F.col(K.MODE).isNotNull()).groupBy(F.col(K.MODE).alias("game_mode")).agg(
         churn_share().alias("churn_rate"),

@@ -190,7 +190,38 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
 
 
+def nth_smallest(table: DataFrame, column: str, n: int, digits: int = 3, few: int = 4096) -> str | None:
+    """The n-th smallest of a column's unique hexadecimal texts of one length; None if there are fewer.
+
+    Rows are counted by the next ``digits`` digits and the search goes on inside the range that holds the
+    n-th, until it has ``few`` rows. The driver gets 16 ** digits counts a step, and those few texts.
+    """
+    prefix, before = "", 0
+    while True:
+        inside = table.where(F.col(column).startswith(prefix))
+        counts = inside.groupBy(F.substring(column, 1, len(prefix) + digits).alias("range")).count()
+        for row in sorted(counts.collect()):
+            if before + row["count"] >= n:
+                break
+            before += row["count"]
+        else:
+            return None
+        prefix = row["range"]
+        if row["count"] <= few:
+            rest = table.where(F.col(column).startswith(prefix)).select(column).collect()
+            return sorted(r[column] for r in rest)[n - before - 1]
+
+
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly min(n, rows) rows, the same ones on every run: the n smallest key hashes."""
-    text = F.col(key).cast("string")
-    return df.orderBy(F.md5(F.concat(text, F.lit(f"#{seed}"))), text).limit(n)
+    """Exactly min(n, rows) rows, the same ones on every run: the n smallest key hashes.
+
+    The rows are stored with their hash, and those up to the n-th are kept by a filter, so no task gathers
+    the sample. Rows with one key are told apart by their stored place; a null key counts as empty.
+    """
+    if n <= 0:
+        return df.limit(0)
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    place = F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0")
+    drawn = materialise(df.withColumn("_draw", F.concat(F.md5(F.concat(text, F.lit(f"#{seed}"))), F.lower(place))), "draws")
+    last = nth_smallest(drawn, "_draw", n)
+    return (drawn if last is None else drawn.where(F.col("_draw") <= last)).drop("_draw")

@@ -35,6 +35,37 @@ def balanced_class_counts(spark, sf_dir):
     return class_distribution(smote(m.part("train"), m.preprocessor.feature_names))
 
 
+@query(
+    "smote_invariants",
+    with_(f"{PLAYERS},\n{_TRAIN_COUNTS},\n gap AS (SELECT *, (SELECT max(n) FROM ct) - n AS missing FROM ct)",
+          """SELECT churn_label, n AS originals, missing AS made, CASE WHEN missing > 0 THEN missing // n END AS fewest,
+      CASE WHEN missing > 0 THEN (missing + n - 1) // n END AS most, CAST(0 AS BIGINT) AS other_ends, CAST(0 AS BIGINT) AS off_segment FROM gap"""),
+)
+def smote_invariants(spark, sf_dir):
+    """New rows of each class, how many a base row has at least and at most, and how many break a rule: ends that
+    are no row of the class, values that aren't base + gap x (end - base) with a gap of 0 to 1."""
+    m = matrices(spark, sf_dir)
+    names = m.preprocessor.feature_names
+    rows = materialise(smote(m.part("train"), names, trace=True), "smote")
+    own = rows.where("NOT synthetic").select(K.ID, K.LABEL, F.array(*names).alias("x"))
+    made = rows.where("synthetic").select("base_key", "near_key", "gap", F.col(K.LABEL).alias("label"), F.array(*names).alias("got"))
+    base = own.select(F.col(K.ID).alias("base_key"), F.col(K.LABEL).alias("base_label"), F.col("x").alias("base"))
+    end = own.select(F.col(K.ID).alias("near_key"), F.col(K.LABEL).alias("end_label"), F.col("x").alias("end"))
+    both = made.join(base, "base_key", "left").join(end, "near_key", "left")
+    on = F.zip_with(F.zip_with("base", "end", lambda a, b: a + F.col("gap") * (b - a)), "got", lambda a, b: F.abs(a - b) <= 1e-9)
+    right = F.col("gap").between(0, 1) & F.forall(on, lambda x: F.coalesce(x, F.lit(False)))
+    inside = (F.col("base_label") == F.col("label")) & (F.col("end_label") == F.col("label"))
+    wrong = lambda c: F.sum((~F.coalesce(c, F.lit(False))).cast("bigint"))
+    each = both.groupBy("label", "base_key").agg(F.count(F.lit(1)).alias("made"), wrong(inside).alias("other_ends"), wrong(right).alias("off_segment"))
+    # a base row without a new one has none
+    counted = own.join(each.drop("label"), own[K.ID] == each["base_key"], "left").na.fill(0, ["made", "other_ends", "off_segment"])
+    made_any = F.sum("made") > 0
+    return counted.groupBy(K.LABEL).agg(
+        F.count(F.lit(1)).alias("originals"), F.sum("made").alias("made"), F.when(made_any, F.min("made")).alias("fewest"),
+        F.when(made_any, F.max("made")).alias("most"), F.sum("other_ends").alias("other_ends"), F.sum("off_segment").alias("off_segment"),
+    )
+
+
 @query("smote_rows")
 def smote_rows(spark, sf_dir):
     m = matrices(spark, sf_dir)

@@ -71,6 +71,22 @@ def spend_tier_labels(spark, sf_dir):
     return with_display_columns(df).select("player_id", "spend_tier_label")
 
 
+_STATUS = "CASE WHEN churn_label = 0 THEN 'Active' WHEN churn_label = 1 THEN 'Churned' END"
+
+
+@query(
+    "kpi_cube",
+    with_(WINSORISED, f"""SELECT game_mode_primary AS game_mode, {_TIER} AS spend_tier, {_STATUS} AS status,
+      CAST(grouping(game_mode_primary) * 4 + grouping({_TIER}) * 2 + grouping({_STATUS}) AS BIGINT) AS level,
+      count(*) AS players, count(churn_label) AS labelled, CAST(sum(churn_label) AS BIGINT) AS churned, {r(f"sum({SPEND0})", 2)} AS spend,
+      {r("sum(session_count)", 2)} AS sessions, count(session_count) AS with_sessions
+      FROM w GROUP BY CUBE (game_mode_primary, {_TIER}, {_STATUS})"""),
+)
+def kpi_cube(spark, sf_dir):
+    df = winsorised(spark, sf_dir, [K.MODE, "churn_label", "total_spend_usd", "session_count"])
+    return rounded(A.kpi_cube(with_display_columns(df)), 2, "spend", "sessions")
+
+
 def _histogram_sql(x: str, bins: int, shared: bool = False, table: str = "p") -> str:
     """CTEs ending in h(label, lo, hi, bin, n, total)."""
     span = "(SELECT min(x) AS lo, max(x) AS hi FROM hx)" if shared else "(SELECT label AS l2, min(x) AS lo, max(x) AS hi FROM hx GROUP BY 1)"

@@ -138,6 +138,21 @@ def test_sample_is_stable_and_exact(table):
     assert len(a) == 100 and a == b
 
 
+def test_sample_by_threshold(spark, table):
+    """No task gathers the sample; repeated and null keys, more rows than asked for, and fewer."""
+    plan = X.seeded_sample(table, "player_id", 100)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "TakeOrdered" not in plan and "Exchange" not in plan
+    rows = spark.range(9000).selectExpr("IF(id % 3 = 0, null, IF(id % 3 = 1, 'hot', CAST(id AS STRING))) AS id", "id AS x")
+    for n in (0, 1, 2999, 3001, 5000, 9000, 20000):
+        got = X.seeded_sample(rows, "id", n).collect()
+        assert len(got) == min(n, 9000) == len({r["x"] for r in got})
+
+
+def test_nth_smallest_goes_down_to_single_digits(spark):
+    rows = spark.range(500).selectExpr("lpad(lower(hex(id)), 8, '0') AS h")
+    assert [X.nth_smallest(rows, "h", n, 1, 1) for n in (1, 17, 500, 501)] == ["00000000", "00000010", "000001f3", None]
+
+
 def test_scalar_statistics(table):
     stats = table.agg(F.max("sessions").alias("top"))
     out = with_overall(table, stats, {"top": "top"})

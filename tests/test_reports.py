@@ -74,3 +74,21 @@ def test_null_modes_are_dropped(spark):
     df = spark.createDataFrame([(None, 1), ("PvP", 1), ("PvP", 0)], "game_mode_primary string, churn_label int")
     rows = A.churn_by_mode_vs_overall(df).collect()
     assert len(rows) == 1 and rows[0]["churn_pct"] == 50.0 and rows[0]["above_overall"] is False
+
+
+def test_cube_answers_every_filter(spark):
+    """KPI row, churn by mode and tier counts read from the cube equal those of the filtered players."""
+    modes, spends = ["PvP", "Solo", "Co-op", None], [0.0, 5.0, 50.0, 500.0, None]
+    rows = [(modes[i % 4], spends[i % 5], None if i % 11 == 0 else float(i % 17), None if i % 13 == 0 else int(i % 3 == 0)) for i in range(400)]
+    df = with_display_columns(spark.createDataFrame(rows, "game_mode_primary string, total_spend_usd double, session_count double, churn_label int"))
+    cube = A.kpi_cube(df).cache()
+    assert {r["level"] for r in cube.select("level").distinct().collect()} == set(range(8))
+    names = {"game_mode": K.MODE, "spend_tier": "spend_tier_label", "status": "churn_risk_level"}
+    statuses = [r[0] for r in df.select("churn_risk_level").where("churn_risk_level IS NOT NULL").distinct().collect()]
+    for chosen in [{}, {"game_mode": ["PvP", "Solo"]}, {"spend_tier": ["Whale"], "status": statuses[:1]}, {"game_mode": ["Co-op"], "spend_tier": ["Free", "Minnow"], "status": statuses}, {"game_mode": ["none"]}]:
+        part = df
+        for name, values in chosen.items():
+            part = part.where(F.col(names[name]).isin(values))
+        for own, direct in [(A.kpi_row_from_cube, A.kpi_row), (A.churn_by_mode_from_cube, A.churn_by_mode), (A.spend_tier_counts_from_cube, A.spend_tier_counts)]:
+            assert sorted(map(tuple, own(cube, **chosen).collect())) == sorted(map(tuple, direct(part).collect())), (chosen, own)
+    assert A.kpi_cube(df.limit(0)).where("level < 7").count() == 0
