@@ -15,8 +15,9 @@ from lapsewise.functions.numeric import (
     right_closed_bin,
     round_even,
 )
+from lapsewise.operators.brackets import collect_quantiles, quantile_rows
 from lapsewise.operators.joins import with_constant_map, with_overall
-from lapsewise.operators.ranks import collect_quantiles, quantiles, unpivot_numeric
+from lapsewise.operators.ranks import unpivot_numeric
 
 SPEND = "total_spend_usd"
 
@@ -164,7 +165,7 @@ def histogram(df: DataFrame, column: Column, bins: int, by: str | None = K.LABEL
 def recency_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
     """Recency histogram per label with the label's median."""
     days = histogram(df, F.col("last_login_days_ago"), bins)
-    medians = quantiles(df, ["last_login_days_ago"], [0.5], [K.LABEL]).select(
+    medians = quantile_rows(df, ["last_login_days_ago"], [0.5], [K.LABEL]).select(
         F.col(K.LABEL).alias("label"), F.col("quantile").alias("median")
     )
     return days.join(F.broadcast(medians), "label").drop("density")
@@ -188,7 +189,7 @@ def box_stats(df: DataFrame, columns: list[str] = K.NUMERIC_FEATURES, cap: float
     capped = df.select(
         K.LABEL, *[clip(num(c), high=tops[c][cap]).alias(c) if tops[c] else num(c).alias(c) for c in columns]
     )
-    box = quantiles(capped, columns, [0.25, 0.5, 0.75], [K.LABEL]).groupBy(K.LABEL, "feature").agg(*[
+    box = quantile_rows(capped, columns, [0.25, 0.5, 0.75], [K.LABEL]).groupBy(K.LABEL, "feature").agg(*[
         F.max(F.when(F.col("fraction") == q, F.col("quantile"))).alias(name)
         for q, name in [(0.25, "q1"), (0.5, "median"), (0.75, "q3")]
     ])
@@ -263,7 +264,7 @@ def win_rate_trend_line(df: DataFrame) -> DataFrame:
 def log_spend_summary(df: DataFrame) -> DataFrame:
     """(label, n, low, median, high) of log1p(spend, null as 0)."""
     logged = df.select(F.col(K.LABEL).alias("label"), F.log1p(spend_or_zero()).alias("log_spend"))
-    middle = quantiles(logged, ["log_spend"], [0.5], ["label"]).select("label", F.col("quantile").alias("median"))
+    middle = quantile_rows(logged, ["log_spend"], [0.5], ["label"]).select("label", F.col("quantile").alias("median"))
     return logged.groupBy("label").agg(
         F.count(F.lit(1)).alias("n"), F.min("log_spend").alias("low"), F.max("log_spend").alias("high")
     ).join(F.broadcast(middle), "label")
@@ -363,7 +364,7 @@ def segment_profile(df: DataFrame, columns: list[str] = K.PROFILE_FEATURES) -> D
         F.count(F.lit(1)).alias("player_count"),
         churn_pct().alias("churn_rate_pct"),
     )
-    medians = quantiles(known, have, [0.5], ["segment"]).groupBy("segment").agg(*[
+    medians = quantile_rows(known, have, [0.5], ["segment"]).groupBy("segment").agg(*[
         round_even(F.max(F.when(F.col("feature") == c, F.col("quantile"))), 2).alias(f"{c}_median") for c in have
     ])
     ordered = [f"{c}_{kind}" for c in have for kind in ("mean", "median")]

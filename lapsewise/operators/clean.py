@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from lapsewise import constants as K
 from lapsewise.functions.labels import churn_status, spend_tier_from_amount, spend_tier_label
 from lapsewise.functions.numeric import all_of, clip, count_if, num, round_even
-from lapsewise.operators.ranks import collect_quantiles, quantiles, unpivot_numeric
+from lapsewise.operators.brackets import collect_quantiles, quantile_rows
+from lapsewise.operators.ranks import unpivot_numeric
 from lapsewise.sources.tables import available
 
 MAX_CATEGORIES = 1000
@@ -262,7 +263,7 @@ def describe(df: DataFrame, columns: list[str], digits: int | None = None) -> Da
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quarter = quantiles(df, columns, [0.25, 0.5, 0.75]).groupBy("feature").agg(*[
+    quarter = quantile_rows(df, columns, [0.25, 0.5, 0.75]).groupBy("feature").agg(*[
         F.max(F.when(F.col("fraction") == q, F.col("quantile"))).alias(name)
         for q, name in [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]
     ])

@@ -84,7 +84,8 @@ def unpivot_numeric(df: DataFrame, columns: list[str], keep: list[str] = ()) ->
 def quantiles(df: DataFrame, columns: list[str], fractions: list[float], by: list[str] = ()) -> DataFrame:
     """Exact linear-interpolation quantiles: (by..., feature, fraction, quantile).
 
-    One pass over the data serves all columns, groups and fractions.
+    One pass over the data serves all columns, groups and fractions, for any number of groups. For few groups
+    ``brackets`` finds the same without moving the values.
     """
     keys = [*by, "feature"]
     placed = collapse(unpivot_numeric(df, columns, by), "value", keys)
@@ -109,14 +110,6 @@ def quantiles(df: DataFrame, columns: list[str], fractions: list[float], by: lis
     return hits.groupBy(*keys, "fraction").agg((low + part * (high - low)).alias("quantile"))
 
 
-def collect_quantiles(df: DataFrame, columns: list[str], fractions: list[float]) -> dict:
-    """{column: {fraction: value}}; len(columns) x len(fractions) numbers reach the driver."""
-    found = {c: {} for c in columns}
-    for row in quantiles(df, columns, fractions).collect():
-        found[row["feature"]][row["fraction"]] = row["quantile"]
-    return found
-
-
 def rank_table(placed: DataFrame) -> DataFrame:
     """(feature, value, n, pct): average-tie percentile rank of each value of a collapsed table."""
     ranked = running_totals(placed, "value", ["n"], ["feature"])

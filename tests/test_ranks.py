@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from lapsewise.operators import brackets as B
 from lapsewise.operators import ranks as X
 from lapsewise.operators.joins import join_lookup, with_overall
 from lapsewise.operators.profile import loss_streak
@@ -54,7 +55,7 @@ def test_no_value_spans_two_ranges(table):
 
 def test_quantiles_match_numpy(table, numbers):
     fractions = [0.0, 0.01, 0.25, 0.5, 0.98, 0.99, 1.0]
-    got = X.collect_quantiles(table, ["spend", "sessions"], fractions)
+    got = B.collect_quantiles(table, ["spend", "sessions"], fractions)
     for column in ("spend", "sessions"):
         want = np.quantile(numbers[column].dropna(), fractions)
         assert np.allclose([got[column][q] for q in fractions], want, rtol=0, atol=1e-12)
@@ -69,14 +70,14 @@ def test_quantiles_by_group(table, numbers):
 
 def test_small_golden_sets(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 2.0), ("d", 5.0), ("e", 9.0), ("f", None)], "player_id string, x double")
-    assert abs(X.collect_quantiles(df, ["x"], [0.99])["x"][0.99] - 8.84) < 1e-12
+    assert abs(B.collect_quantiles(df, ["x"], [0.99])["x"][0.99] - 8.84) < 1e-12
     ranked = X.with_rank_pct(df, {"x": "pct"}, "player_id").orderBy("player_id").collect()
     assert [r["pct"] for r in ranked] == [0.2, 0.5, 0.5, 0.8, 1.0, None]
 
 
 def test_empty_input(spark):
     df = spark.createDataFrame([], "player_id string, x double")
-    assert X.collect_quantiles(df, ["x"], [0.5]) == {"x": {}}
+    assert B.collect_quantiles(df, ["x"], [0.5]) == {"x": {}}
     assert X.with_rank_pct(df, {"x": "pct"}, "player_id").count() == 0
     assert X.ecdf(df, "x").count() == 0
 
