@@ -7,6 +7,7 @@ from lapsewise.queries.base import query, r, rounded
 from lapsewise.sources.tables import read_table
 from lapsewise.sources.workspace import new_path
 from lapsewise.streaming import activity as T
+from lapsewise.streaming import sessions as S
 
 GAP_MINUTES = 360
 
@@ -74,3 +75,13 @@ def stream_weekly_counts(spark, sf_dir):
 @query("stream_session_counts", f"{_SESSIONS} SELECT user_id, first, last, events FROM s")
 def stream_session_counts(spark, sf_dir):
     return _in_micros(T.merged_sessions(spark, _partial(spark, sf_dir), gap_minutes=GAP_MINUTES))
+
+
+@query("stream_timed_sessions", f"{_SESSIONS} SELECT user_id, first, last, events FROM s")
+def stream_timed_sessions(spark, sf_dir):
+    """Sessions closed by their timers, and those still open in the state when the input has ended."""
+    out, progress = new_path(spark, "timed"), new_path(spark, "timed-progress")
+    stream = S.timed_sessions(T.read_events(spark, f"{sf_dir}/events.parquet*"), gap_minutes=GAP_MINUTES)
+    S.start_timed_sessions(stream, out, progress).awaitTermination()
+    closed = S.recorded(spark, out, stream.schema).where("kind = 'session'").drop("kind")
+    return _in_micros(closed.unionByName(S.open_sessions(spark, progress)))

@@ -44,7 +44,7 @@ def brute_sessions(rows, gap):
     return sorted(out + [(u, *v) for u, v in by.items()])
 
 
-@pytest.mark.parametrize("gap, chunk", [(30, 60), (30, 10), (240, 60), (1, 1440)])
+@pytest.mark.parametrize("gap, chunk", [(30, None), (30, 60), (30, 10), (240, 60), (1, 1440), (0, 60)])
 def test_sessions_match_brute_force(many, gap, chunk):
     rows, df = many
     got = B.sessionize(df, "user_id", "ts", gap, chunk).collect()
@@ -59,6 +59,17 @@ def test_gap_equal_to_the_limit_continues(spark):
     assert sorted(r["events"] for r in got) == [1, 2]
 
 
+def test_hot_user_is_added_up_before_the_windows(spark):
+    """300 000 events of one user in one hour; before 1970 too, where division rounds the other way."""
+    for start in ("2024-01-01", "1969-12-31 23:30:00"):
+        rows = spark.range(0, 300_000, 1, 6).selectExpr("7L AS user_id", f"timestampadd(microsecond, id * 12000, timestamp_ntz'{start}') AS ts")
+        pieces = rows.select("user_id", B.micros(F.col("ts")).alias("first"))
+        pieces = pieces.withColumn("last", F.col("first")).withColumn("events", F.lit(1))
+        assert B.cells(pieces, "user_id", 60_000_000).count() in (60, 61)
+        (only,) = B.sessionize(rows, "user_id", "ts", 1).collect()
+        assert only["events"] == 300_000
+
+
 def test_rolling_activity(many):
     rows, df = many
     days = {}
