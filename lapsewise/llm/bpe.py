@@ -7,7 +7,8 @@ merged together as arrays.
 
 It reads tokenizer files of the ``tokenizers`` library with a BPE model over byte-level words that
 are split at white space (white space itself gives no token), and gives the ids that the library
-gives with ``add_special_tokens=False``. The text of a special token becomes that token.
+gives with ``add_special_tokens=False``. The text of a special token becomes that token; the text around it
+is encoded like any other. Special tokens that strip, need a whole word or match normalised text are an error.
 
 A null text counts as empty: no ids, and the empty string when decoded. Rows are never dropped or
 merged; other columns, repeated rows and null ids of documents pass through unchanged.
@@ -59,14 +60,17 @@ class Codec:
         self.first_ids = np.array([vocab[c] for c in letters] + [vocab[c + suffix] for c in letters], np.int64)
         self._index_merges([tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]], vocab)
         self._index_inside(vocab, suffix)
-        self.specials = re.compile("|".join(map(re.escape, (t["content"] for t in json.loads(spec)["added_tokens"]))) or r"(?!)")
+        added = json.loads(spec)["added_tokens"]
+        if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens have to match raw text as it stands")
+        self.special_ids = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in added}
+        self.specials = re.compile("(" + ("|".join(map(re.escape, sorted(self.special_ids, key=len, reverse=True))) or r"(?!)") + ")")
         # Below U+0180 categories are stable, lower case stays below (but for one letter) and nothing is composed.
         low = [chr(c) for c in range(0x180)]
         inside = lambda kind: "".join(re.escape(c) for c in low if unicodedata.category(c)[0] == kind)
-        self.plain = re.compile("[\0-įı-ſ]*")
+        # Its white space beyond ASCII, and the separators U+001C to U+001F, are left to the library's own splitting.
+        self.plain = re.compile("[\0-\x1b\x20-\x84\x86-\x9f\xa1-įı-ſ]*")
         self.words = re.compile(f"\n|'s|'t|'re|'ve|'m|'ll|'d|[{inside('L')}]+|[{inside('N')}]|[^\n{inside('L')}{inside('N')}]+")
-        # where the library's white space is not the ASCII white space of the fast path
-        self.unusual = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
         self.space = ascii_space()
 
     def _index_merges(self, merges, vocab) -> None:
@@ -183,27 +187,24 @@ class Codec:
         edge = np.concatenate([[0], np.cumsum(size)])
         return flat, edge[np.concatenate([[0], np.cumsum(~line)[line]])]
 
-    def _library_ids(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
     def encode(self, texts: list) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = [b""] * len(texts)
+        parts: list[bytes] = []
+        ends: list[int] = []
         todo: list[tuple[int, bytes]] = []
         size = 0
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            if self.specials.search(text) or self.unusual.search(text):
-                out[i] = self._library_ids(text)
-                continue
-            todo.append((i, text.encode()))
-            size += len(todo[-1][1])
+        for text in texts:
+            for part in self.specials.split(text or ""):
+                parts.append(self.special_ids.get(part, b""))
+                if part and part not in self.special_ids:
+                    todo.append((len(parts) - 1, part.encode()))
+                    size += len(todo[-1][1])
+            ends.append(len(parts))
             if size > TOGETHER:
-                self._encode_together(todo, out)
+                self._encode_together(todo, parts)
                 todo, size = [], 0
-        self._encode_together(todo, out)
-        return out
+        self._encode_together(todo, parts)
+        return [b"".join(parts[a:b]) for a, b in zip([0, *ends], ends)]
 
     def _encode_together(self, todo: list[tuple[int, bytes]], out: list[bytes]) -> None:
         """Every distinct chunk between white space once, then the chunks' ids in the order of the texts."""

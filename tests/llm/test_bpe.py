@@ -1,6 +1,7 @@
 """Ids and decoded texts equal the library's."""
 
 import hashlib
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -40,6 +41,31 @@ def test_odd_texts(codec, library):
     check(codec, library, ODD)
 
 
+def test_every_fragment_is_merged_here(codec, library):
+    """Special tokens and spaces beyond ASCII: the library may normalise and split, but never encode."""
+    texts = [
+        "prix\xa0: 12\xa0€ «\xa0été\xa0»", "東京\u3000大阪\u3000日本語", "a\x1c\x1db\x85c\u2028d\u2029e\u202ff\u205fg\u1680h",
+        "<|endoftext|>", "<|endoftext|><|endoftext|>x", "a <|startoftext|>\xa0b<|endoftext|> c\n", "<|endoftext", "É\u0301<|endoftext|>\u0301e",
+        "\u2000\u0301a \u0301b", " ".join(f"mot{i}\xa0<|endoftext|>" for i in range(3000)),
+    ]
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    whole = codec.library
+    codec.library = SimpleNamespace(normalizer=whole.normalizer, pre_tokenizer=whole.pre_tokenizer)
+    try:
+        assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(texts)] == wanted
+    finally:
+        codec.library = whole
+
+
+SPACED = st.text(st.sampled_from("aZé1'\xa0\x85\x1c\u2000\u2001\u3000\u0301\u2028 \n日"), max_size=30)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(SPACED, st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|end"])), max_size=6))
+def test_any_mix_of_spaces_and_special_tokens(codec, library, parts):
+    check(codec, library, ["".join(parts)])
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(max_size=60), max_size=5))
 def test_any_text(codec, library, texts):
