@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from test_clean import make_players
 
@@ -163,6 +164,26 @@ def test_bundle_round_trip(spark, trained):
     assert len(info) == 4 and {r["model_name"] for r in info} == {bundle.name}
 
 
+def test_models_work_in_a_session_that_has_observed_metrics(spark, folded):
+    seen = Observation()
+    folded.observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 240
+    for name, params in (("LogisticRegression", {}), ("RandomForest", {"numTrees": 3})):
+        model = M.without_summary(M.estimator(name, 240, **params).fit(folded), spark)
+        assert M.score(model, folded).where("churn_prob between 0 and 1").count() == 240
+    auc, trees = M._fold_score(folded, "RandomForest", {"numTrees": 5}, 1.0, 0, 1)
+    assert auc > 0.8 and trees == 5
+
+
+def test_tasks_of_a_fit_go_by_rows(spark, monkeypatch):
+    df = spark.range(1000, numPartitions=40).select(F.col("id").cast("string").alias(K.ID), (F.col("id") * 0.5).alias("a"))
+    for rows, parts in ((M.FIT_ROWS, 1), (300, 4)):
+        monkeypatch.setattr(M, "FIT_ROWS", rows)
+        ready = M.fit_table(df, ["a"])
+        assert ready.rdd.getNumPartitions() == parts and ready.count() == 1000 and "features" in ready.columns
+        ready.unpersist()
+
+
 def test_search_draws_within_ranges_and_repeats(spark):
     import random
 
