@@ -68,3 +68,19 @@ def test_item_join_has_partial_aggregation(spark, sf_dir):
 
     text = plan(item_activity(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders")))
     assert "partial_sum" in text
+
+
+def test_items_are_added_up_in_tasks_of_bounded_rows(spark, monkeypatch):
+    """No aggregate runs beside the join, and the tasks that add up follow from the number of items; results as counted by hand."""
+    from lapsewise.operators import profile
+
+    monkeypatch.setattr(profile, "ITEM_ROWS", 100)
+    orders = spark.createDataFrame([(1, 10), (2, 10), (3, 11), (4, None), (6, 12)], "o_orderkey long, o_custkey long")
+    rows = [(1, i % 7, i % 3, 2.0, "R" if i % 4 == 0 else "N") for i in range(100)] + [
+        (2, 99, None, None, None), (3, None, 5, 1.5, "R"), (4, 1, 1, 1.0, "N"), (5, 1, 1, 1.0, "N"), (6, None, None, None, None)]
+    items = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_returnflag string")
+    found = profile.item_activity(items, orders)
+    text = plan(found)
+    assert "Expand" not in text and "REPARTITION_BY_NUM" in text
+    got = {r["o_custkey"]: tuple(r)[1:] for r in found.collect()}
+    assert got == {10: (200.0, 0.75, 3, 8), 11: (1.5, 0.0, 1, 0), 12: (None, None, 0, 0), None: (1.0, 1.0, 1, 1)}
