@@ -52,6 +52,8 @@ ESTIMATE = 0.61
 BLOCK, BLOCK_SHINGLES = 64, 1_000_000
 #: Best candidates of each document that are confirmed first.
 FIRST = 3
+#: Bits that mark the documents whose full sets are needed.
+MARKS = 1 << 25
 #: Bytes of texts handled at once.
 TOGETHER = 1_000_000
 
@@ -260,9 +262,26 @@ def ids_of(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
 
 
+def marked(wanted: DataFrame, bits: int) -> DataFrame:
+    """(part, marks): a bit for each hash of a wanted doc_id, in parts of 32 768 bits."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    return wanted.select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("bit")).groupBy("part").agg(
+        F.bitmap_construct_agg("bit").alias("marks")
+    )
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """The full sets of the wanted doc_ids; whether the ids go to the texts or both are shuffled is left to Spark, by their size."""
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    """The full sets of the wanted doc_ids.
+
+    Texts whose id has no mark among MARKS bits are left out before anything is shuffled; the marks are 4 MB at most.
+    Of the rest, whether the ids go to the texts or both are shuffled is left to Spark, by their size.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
+    texts = docs.select("doc_id", "text").withColumn("part", F.bitmap_bucket_number(place)).withColumn("bit", F.bitmap_bit_position(place))
+    texts = texts.join(F.broadcast(marked(wanted, MARKS)), "part")
+    byte = F.conv(F.hex(F.substring("marks", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    texts = texts.where(F.getbit(byte, (F.col("bit") % 8).cast("int")) == 1)
+    texts = texts.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
     return texts.mapInArrow(partial(full_sets, words=words), "node long, shingles array<long>")
 
 

@@ -76,3 +76,12 @@ def test_low_bits_are_those_of_the_minima():
     sums, bands, packed = minhash.sketches(shingle, n)
     assert sums.shape == (2, 2) and bands.shape == (2, minhash.BANDS) and packed.shape == (2, len(minhash.PACKED))
     assert len(np.unique(bands)) == 2 * minhash.BANDS
+
+
+def test_texts_without_a_mark_are_left_out_before_the_shuffle(spark):
+    docs = spark.range(-5, 3000).selectExpr("id AS doc_id", "concat('a b c d e ', id) AS text")
+    wanted = docs.where("doc_id % 7 = 0").select("doc_id")
+    assert minhash.marked(wanted, 1 << 20).count() == 32
+    rows = minhash.sets_of(docs, wanted, 4)
+    assert "bitmap_construct_agg" in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["node"] for r in rows.collect()) == list(range(0, 3000, 7))
