@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
@@ -124,14 +124,14 @@ def first_centres(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
     return np.array(centres)
 
 
-def nearest_sums(starts: list[np.ndarray], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def nearest_sums(starts: list[np.ndarray], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each centre of each start, numbered through: how many rows are nearest to it, their sums and their squared distances."""
     centres = np.concatenate(starts)
     edge = np.cumsum([0, *map(len, starts)])
     n, sums, cost = np.zeros(len(centres), np.int64), np.zeros(centres.shape), np.zeros(len(centres))
     norms = (centres**2).sum(1)
     for batch in batches:
-        rows = np.array(batch["x"].tolist(), float)
+        rows = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, centres.shape[1])
         for at in range(0, len(rows), TOGETHER):
             x = rows[at : at + TOGETHER]
             away = norms - 2 * x @ centres.T + (x**2).sum(1)[:, None]
@@ -142,7 +142,8 @@ def nearest_sums(starts: list[np.ndarray], batches: Iterator[pd.DataFrame]) -> I
                 n[low:high] += own.sum(0).astype(np.int64)
                 sums[low:high] += own.T @ x
                 cost[low:high] += own.T @ np.maximum(away[np.arange(len(x)), low + near], 0)
-    yield pd.DataFrame({"centre": np.arange(len(centres)), "n": n, "sums": list(sums), "cost": cost})
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(centres) + 1) * centres.shape[1], pa.int32()), pa.array(sums.ravel()))
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(centres))), pa.array(n), lists, pa.array(cost)], names=["centre", "n", "sums", "cost"])
 
 
 def fit_starts(
@@ -164,10 +165,10 @@ def fit_starts(
         passes += 1
         names, starts = list(now), list(now.values())
 
-        def sums(batches: Iterator[pd.DataFrame], starts=starts) -> Iterator[pd.DataFrame]:
+        def sums(batches: Iterator[pa.RecordBatch], starts=starts) -> Iterator[pa.RecordBatch]:
             return nearest_sums(starts, batches)
 
-        each = rows.mapInPandas(sums, "centre int, n long, sums array<double>, cost double")
+        each = rows.mapInArrow(sums, "centre long, n long, sums array<double>, cost double")
         total = each.groupBy("centre").agg(F.sum("n").alias("n"), added, F.sum("cost").alias("cost"))
         found = {r["centre"]: r for r in total.collect()}
         at = 0

@@ -1,6 +1,7 @@
 """Clustering quality and naming."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_clean import make_players
@@ -151,3 +152,17 @@ def test_stored_segmenter_assigns_new_players(spark):
     some = df.limit(20).withColumn("session_count", F.lit(None).cast("double"))
     rows = loaded.segments(some).collect()
     assert len(rows) == 20 and {r["segment"] for r in rows} <= set(K.SEGMENTS)
+
+
+def test_sums_by_nearest_centre_of_a_batch():
+    x = np.random.default_rng(2).normal(size=(3000, 3))
+    starts = [x[:2].copy(), x[5:9].copy()]
+    batch = pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(np.arange(3001) * 3, pa.int32()), pa.array(x.ravel()))], names=["x"])
+    (out,) = S.nearest_sums(starts, iter([batch.slice(0, 1700), batch.slice(1700)]))
+    at = 0
+    for centres in starts:
+        near = ((x[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+        for i in range(len(centres)):
+            assert out.column("n")[at].as_py() == (near == i).sum()
+            assert np.allclose(out.column("sums")[at].as_py(), x[near == i].sum(0))
+            at += 1
