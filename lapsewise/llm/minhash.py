@@ -271,17 +271,18 @@ def marked(wanted: DataFrame, bits: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """The full sets of the wanted doc_ids.
+    """The full sets of the wanted doc_ids, each named once.
 
     Texts whose id has no mark among MARKS bits are left out before anything is shuffled; the marks are 4 MB at most.
-    Of the rest, whether the ids go to the texts or both are shuffled is left to Spark, by their size.
+    Of the rest, whether the ids go to the texts or both are shuffled is left to Spark, by their size. The last join is
+    an inner one, since Spark would move a semi join below that of the marks, and so shuffle every text.
     """
     place = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
     texts = docs.select("doc_id", "text").withColumn("part", F.bitmap_bucket_number(place)).withColumn("bit", F.bitmap_bit_position(place))
     texts = texts.join(F.broadcast(marked(wanted, MARKS)), "part")
     byte = F.conv(F.hex(F.substring("marks", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     texts = texts.where(F.getbit(byte, (F.col("bit") % 8).cast("int")) == 1)
-    texts = texts.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    texts = texts.select("doc_id", "text").join(wanted, "doc_id")
     return texts.mapInArrow(partial(full_sets, words=words), "node long, shingles array<long>")
 
 

@@ -85,3 +85,13 @@ def test_texts_without_a_mark_are_left_out_before_the_shuffle(spark):
     rows = minhash.sets_of(docs, wanted, 4)
     assert "bitmap_construct_agg" in rows._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(r["node"] for r in rows.collect()) == list(range(0, 3000, 7))
+
+
+def test_marks_are_read_before_the_ids_are_joined(spark):
+    """The join by doc_id, which may shuffle the texts, stands above the one that leaves unmarked texts out."""
+    docs = spark.createDataFrame([(i, f"a b c d e {i % 3}") for i in [*range(20), 4, 4]], "doc_id long, text string")
+    rows = minhash.sets_of(docs, spark.createDataFrame([(4,), (5,), (99,)], "doc_id long"), 4)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert len(joins) == 2 and "doc_id" in joins[0] and "getbit" in joins[1] and "LeftSemi" not in plan
+    assert sorted(r["node"] for r in rows.collect()) == [4, 4, 4, 5]
