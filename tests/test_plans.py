@@ -1,6 +1,7 @@
 """What the physical plans must and must not contain."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from lapsewise import constants as K
@@ -84,3 +85,21 @@ def test_items_are_added_up_in_tasks_of_bounded_rows(spark, monkeypatch):
     assert "Expand" not in text and "REPARTITION_BY_NUM" in text
     got = {r["o_custkey"]: tuple(r)[1:] for r in found.collect()}
     assert got == {10: (200.0, 0.75, 3, 8), 11: (1.5, 0.0, 1, 0), 12: (None, None, 0, 0), None: (1.0, 1.0, 1, 1)}
+
+
+def test_items_meet_their_orders_in_tasks_of_bounded_rows(spark, monkeypatch):
+    """Both sides of the join go to a number of tasks that follows from the items; an order of very many items goes to several."""
+    from lapsewise.operators import profile
+
+    monkeypatch.setattr(profile, "ITEM_ROWS", 100)
+    rows = [(1, i, i % 5, 1.0, "N") for i in range(700)] + [(i, i, None, 2.0, "R") for i in range(2, 202)] + [(None, 1, 1, 1.0, "N")] * 150
+    items = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_returnflag string")
+    orders = spark.createDataFrame([(1, 10), (1, 11), (2, 10), (3, None), (None, 12)], "o_orderkey long, o_custkey long")
+    assert [tuple(r) for r in profile.large_orders(items).collect()] == [(1, 7)]
+    assert profile.large_orders(items.limit(0)).count() == 0
+    joined = profile.with_owner(items, orders)
+    shuffles = [line for line in plan(joined).splitlines() if "Exchange hashpartitioning(l_orderkey" in line]
+    assert len(shuffles) == 2 and all(", 11)" in line and "REPARTITION_BY_NUM" in line for line in shuffles)
+    assert joined.rdd.glom().map(len).filter(lambda n: n > 0).count() > 3
+    got = sorted(joined.groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q")).collect(), key=str)
+    assert [tuple(r) for r in got] == [(10, 701, 702.0), (11, 700, 700.0), (None, 1, 2.0)]
