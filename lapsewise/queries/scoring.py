@@ -47,8 +47,9 @@ def _record_sql(cast: str) -> str:
     return f"CASE WHEN k = 9 THEN '{{}}' WHEN k = 16 THEN 'not json' ELSE '{{' || {body} || '}}' END"
 
 
-def records(spark, sf_dir):
-    df = players(spark, sf_dir).withColumn("k", F.substring("player_id", 2, 20).cast("bigint") % 20)
+def records(spark, sf_dir, rows=None):
+    """Request records of the given players, or of those of the tables."""
+    df = (players(spark, sf_dir) if rows is None else rows).withColumn("k", F.substring("player_id", 2, 20).cast("bigint") % 20)
     return df.select("player_id", F.expr(_record_sql("string")).alias("record"))
 
 

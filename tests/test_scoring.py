@@ -76,3 +76,13 @@ def test_simulator(spark):
     df = spark.createDataFrame([(45, 15, 20.0, 2, 0.5, 5)], "session_count int, last_login_days_ago int, total_spend_usd double, consecutive_losses int, win_rate double, friend_count int")
     r = V.simulator_rows(df).first()
     assert (r["total_playtime_hours"], r["achievement_count"], r["avg_session_duration"], r["game_mode_primary"]) == (33.75, 27, 45.0, "PvP")
+
+
+def test_serving_queries_derive_the_players_once(spark, sf_dir, monkeypatch):
+    from lapsewise.queries import base
+    from lapsewise.queries.modelling import stream_scored_records
+
+    derived, own = [], base.player_profile
+    monkeypatch.setattr(base, "player_profile", lambda *args: derived.append(1) or own(*args))
+    found = stream_scored_records(spark, sf_dir)
+    assert len(derived) == 1 and found.count() == base.players(spark, sf_dir).count()
