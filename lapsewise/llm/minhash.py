@@ -215,7 +215,8 @@ def components(edges: DataFrame) -> DataFrame:
     before = {"n": 0}
     while seen["n"] and seen != before:
         before = seen
-        large = linked(flipped(now), "b > a").distinct()
+        # stored, since a plan that holds it three times fills the driver's memory
+        large = few(linked(flipped(now), "b > a").distinct(), "large")
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low.hint("merge"), "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         now, seen = written(small.union(low).distinct())
@@ -251,7 +252,7 @@ def find_links(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     if not seen["n"]:
         return labels
     sets = sets.union(materialise(sets_of(docs, open_.join(sets, "node", "left_anti").withColumnRenamed("node", "doc_id"), words), "sets"))
-    rows = gathered_by_main(rows.join(open_, "node"))
+    rows = materialise(gathered_by_main(rows.join(open_, "node")), "gathered")
     links, seen = observed(within_gathered(rows, sets).union(confirmed(few(across(rows), "pairs"), sets)), "links", count)
     if not seen["n"]:
         return labels
@@ -353,7 +354,7 @@ def within_gathered(rows: DataFrame, sets: DataFrame) -> DataFrame:
     units = lambda m, n: F.greatest(m.cast("double"), n * (BLOCK / BLOCK_SHINGLES))
     sizes = blocked(sizes, units(F.col("m") - F.col("main.m"), F.col("n") - F.col("main.n")), units(F.col("m"), F.col("n")), BLOCK)
     sizes = sizes.select("near", F.col("main.label").alias("main"), "i_blocks", "j_blocks")
-    rows = rows.join(sizes, "near").join(sets, "node")
+    rows = materialise(rows.join(sizes, "near"), "placed").join(sets, "node")
     outside, everyone = dealt(rows, ["node", "label", "shingles"], "near")
     both = outside.select("near", "i", "j", F.lit(True).alias("x"), *(F.col("x" + c).alias(c) for c in ("node", "label", "shingles")))
     both = both.union(everyone.select("near", "i", "j", F.lit(False), "ynode", "ylabel", "yshingles"))

@@ -95,3 +95,22 @@ def test_marks_are_read_before_the_ids_are_joined(spark):
     joins = [line for line in plan.splitlines() if "Join " in line]
     assert len(joins) == 2 and "doc_id" in joins[0] and "getbit" in joins[1] and "LeftSemi" not in plan
     assert sorted(r["node"] for r in rows.collect()) == [4, 4, 4, 5]
+
+
+def test_no_plan_holds_a_shared_table_several_times(spark, monkeypatch):
+    """What a step reads several times is stored, so that the plans, which the driver holds, stay short."""
+    joins, own = {}, minhash.materialise
+
+    def stored(df, name):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        joins[name] = max(joins.get(name, 0), sum("Join " in line for line in plan.splitlines()))
+        return own(df, name)
+
+    monkeypatch.setattr(minhash, "materialise", stored)
+    found = minhash.components(spark.createDataFrame([(i, i + 1) for i in range(12)], "a long, b long"))
+    assert {r.label for r in found.collect()} == {0} and joins["edges"] == joins["large"] == 1
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    documents = [(i, edited(rng, base, rng.randrange(1, 7))) for i in range(150)]
+    check(minhash.near_duplicates(spark.createDataFrame(documents, "doc_id long, text string")).collect(), documents)
+    assert joins["links"] <= 4, joins
