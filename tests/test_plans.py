@@ -103,3 +103,42 @@ def test_items_meet_their_orders_in_tasks_of_bounded_rows(spark, monkeypatch):
     assert joined.rdd.glom().map(len).filter(lambda n: n > 0).count() > 3
     got = sorted(joined.groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q")).collect(), key=str)
     assert [tuple(r) for r in got] == [(10, 701, 702.0), (11, 700, 700.0), (None, 1, 2.0)]
+
+
+def test_orders_are_added_up_in_tasks_of_bounded_rows(spark, monkeypatch):
+    """Tasks that add orders up follow from their number, not from a file's split, and share a customer of very many; rows by hand."""
+    from lapsewise.operators import profile
+
+    monkeypatch.setattr(profile, "ORDER_ROWS", 100)
+    rows = [(i, 7, "F" if i > 895 else "O", 1.5, f"2020-01-{1 + i % 28:02d}", "1-URGENT" if i % 2 else "5-LOW") for i in range(900)]
+    rows += [(1, 8, "F", None, "2020-01-02", "1-URGENT"), (1, 8, "F", None, "2020-01-02", "1-URGENT"),
+             (5, 9, None, 2.0, None, None), (None, 9, "O", 2.0, None, "1-URGENT"), (3, None, "O", 0.1, "2020-02-01", "1-URGENT")]
+    orders = spark.createDataFrame(
+        rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string"
+    ).withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+    found = profile.order_activity(orders)
+    assert any("REPARTITION_BY_NUM" in line and ", 10)" in line for line in plan(found).splitlines())
+    got = {r["o_custkey"]: r for r in found.collect()}
+    day = lambda v: v and str(v)[:10]
+    found = {k: (r["session_count"], day(r["first_seen"]), day(r["last_seen"]), r["spend_cents"],
+                 r["last_break"] and (day(r["last_break"][0]), r["last_break"][1])) for k, r in got.items()}
+    assert found == {
+        7: (900, "2020-01-01", "2020-01-28", 450 * 150, ("2020-01-28", 895)),
+        8: (2, "2020-01-02", "2020-01-02", None, None),
+        9: (2, None, None, 200, (None, 5)),
+        None: (1, "2020-02-01", "2020-02-01", 10, ("2020-02-01", 3)),
+    }
+
+
+def test_players_meet_their_items_in_tasks_of_bounded_rows(spark, sf_dir, monkeypatch):
+    """Customers and the sums of their items go to a number of tasks that follows from the customers; the rows stay."""
+    from lapsewise.operators import profile
+
+    whole = sorted(map(tuple, players(spark, sf_dir).collect()))
+    monkeypatch.setattr(profile, "ITEM_ROWS", 500)
+    customers = read_table(spark, sf_dir, "orders").select("o_custkey").distinct().count()
+    found = players(spark, sf_dir)
+    parts = -(-profile.SPREAD * customers // 500)
+    shuffles = [x for x in plan(found).splitlines() if "Exchange hashpartitioning(o_custkey#" in x and f", {parts})" in x]
+    assert len(shuffles) == 2 and all("REPARTITION_BY_NUM" in x for x in shuffles)
+    assert sorted(map(tuple, found.collect())) == whole
