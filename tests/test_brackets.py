@@ -78,3 +78,26 @@ def test_collected_values_do_not_grow_with_the_rows(rows, spark, monkeypatch):
     for table in (df, big):
         B.find_quantiles(table, ["smooth"], [0.5], few=1000)
     assert 1 <= len(sizes) <= 4 and max(sizes) <= 1000
+
+
+def test_values_meet_their_intervals_without_a_shuffle(rows, spark, monkeypatch):
+    """The list of intervals goes to the values, also of a large table; its few keys don't gather the values in as many tasks."""
+    _, df = rows
+    plans, kind, true_collect = [], type(df), type(df).collect
+
+    def collect(self):
+        found = true_collect(self)
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(kind, "collect", collect)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")  # a small table would be broadcast itself
+    try:
+        B.find_quantiles(df, ["smooth", "heavy"], [0.5], ["g"], few=50)
+    finally:
+        spark.conf.set(name, before)
+    joins = [text for text in plans if "Join" in text]
+    assert joins and all("BroadcastHashJoin" in text for text in joins)
+    assert not any("SortMergeJoin" in text or "hashpartitioning(coalesce(" in text for text in joins)
